@@ -1,0 +1,7 @@
+"""Registry of the queries and of the SQL that they are held against."""
+
+from __future__ import annotations
+
+FLAGSHIP = "monthly_auc_ks"
+QUERIES: dict = {}
+ORACLES: dict = {}
