@@ -23,8 +23,13 @@ def op10_sharding(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_embedding_dedup": _query("embedding_dedup", "embeddings"),
     "op2_secret_scan": _query("secret_scan"),
+    "op5_language_id": _query("language_id"),
+    "op6_simhash_dedup": _query("simhash"),
     "op7_quality_rules": _query("quality_rules"),
+    "op8_bestfit_packing": _query("packing"),
+    "op9_token_store": _query("token_store"),
     "op10_sharding": op10_sharding,
 }
 
