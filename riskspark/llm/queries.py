@@ -25,6 +25,8 @@ def op10_sharding(spark, sf_dir):
 QUERIES = {
     "op1_embedding_dedup": _query("embedding_dedup", "embeddings"),
     "op2_secret_scan": _query("secret_scan"),
+    "op3_sentencepiece": _query("sentencepiece_codec"),
+    "op4_suffix_dedup": _query("suffix_dedup"),
     "op5_language_id": _query("language_id"),
     "op6_simhash_dedup": _query("simhash"),
     "op7_quality_rules": _query("quality_rules"),
