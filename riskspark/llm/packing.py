@@ -83,7 +83,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in batches:
-            for f, e in slices(batch.column(1), 8 << 20):
+            for f, e in slices(batch.column(1), 16 << 20):
                 part = batch.slice(f, e - f)
                 ids, first = with_ends(*enc.encode(part.column(1)))
                 n = np.diff(first)

@@ -145,7 +145,7 @@ def write(docs: DataFrame, scratch_path: str, path: str | None = None, text: str
 
         enc, part, nth = encoder(path), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for f, e in slices(batch.column(1), 8 << 20):
+            for f, e in slices(batch.column(1), 16 << 20):
                 own = batch.slice(f, e - f)
                 ids, first = with_ends(*enc.encode(own.column(1)))
                 yield pa.RecordBatch.from_arrays(

@@ -17,8 +17,10 @@ import pyarrow.compute as pc
 from ._shared import ragged_take
 
 END = 2
-#: Distinct pieces that a worker remembers.
-REMEMBERED = 300_000
+#: Bytes of distinct pieces that the library encodes as one text.
+JOINED = 1 << 15
+_SPACES = np.zeros(256, bool)
+_SPACES[[32, *range(9, 14)]] = True
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -36,29 +38,44 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path or vocabulary())
         self.library.encode_special_tokens = True
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.ids: list[np.ndarray] = []
-        self.lengths: list[np.ndarray] = []
-        self._flat = None
-
-    def _learn(self, pieces: list[bytes]) -> None:
-        got = [e.ids for e in self.library.encode_batch_fast([p.decode("utf-8", "replace") for p in pieces], add_special_tokens=False)]
-        n = np.fromiter(map(len, got), np.int64, len(got))
-        self.ids.append(np.fromiter((i for x in got for i in x), np.uint32, int(n.sum())))
-        self.lengths.append(n)
-        base = len(self.known)
-        self.known.update((p, base + k) for k, p in enumerate(pieces))
-        self._flat = None
-
-    def _store(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        if self._flat is None:
-            self.ids, self.lengths = [np.concatenate(self.ids)], [np.concatenate(self.lengths)]
-            n = self.lengths[0]
-            self._flat = self.ids[0], np.concatenate(([0], np.cumsum(n)[:-1])).astype(np.int64), n
-        return self._flat
+        # a token of this vocabulary has one character for each byte
+        self.bytes_of = np.zeros(self.library.get_vocab_size(), np.int64)
+        for token, i in self.library.get_vocab().items():
+            self.bytes_of[i] = len(token)
+
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, counts) of texts, by the library."""
+        got = [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.concatenate([np.zeros(0, np.uint32), *got]), np.array([len(g) for g in got], np.int64)
+
+    def _pieces(self, words: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, starts, counts) of distinct pieces.
+
+        Pieces that start with white space and end with a solid character may stand next to each other in one text, which
+        saves a call for each; the bytes that its tokens stand for tell where a piece ends.
+        """
+        at = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+        raw = np.frombuffer(words.buffers()[2], np.uint8)
+        sizes, last = np.diff(at), raw[at[1:] - 1]
+        before = raw[np.maximum(at[1:] - 2, at[:-1])]
+        clean = _SPACES[raw[at[:-1]]] & (((last > 32) & (last < 127)) | ((last >= 128) & (before == 0xC3)))
+        easy, hard = np.flatnonzero(clean), np.flatnonzero(~clean)
+        joined = ragged_take(raw, at[:-1], sizes, easy).tobytes()
+        ends = np.cumsum(sizes[easy])
+        cuts = np.unique(np.searchsorted(ends, np.arange(JOINED, len(joined) + JOINED, JOINED), "left").clip(max=len(ends) - 1)) if len(ends) else ends
+        stops = [0, *ends[cuts].tolist()]
+        ids, _ = self._ids([joined[a:b].decode("utf-8") for a, b in zip(stops[:-1], stops[1:], strict=True)])
+        spelled = np.cumsum(self.bytes_of[ids])
+        upto = np.searchsorted(spelled, ends) + 1
+        if len(ends) and not np.array_equal(spelled[upto - 1], ends):
+            raise ValueError("tokens cross the pieces of this vocabulary")
+        counts = np.zeros(len(words), np.int64)
+        counts[easy] = np.diff(np.concatenate(([0], upto)))
+        more, counts[hard] = self._ids([raw[at[i] : at[i + 1]].tobytes().decode("utf-8", "replace") for i in hard.tolist()])
+        order = np.concatenate((easy, hard))
+        starts = np.empty(len(words), np.int64)
+        starts[order] = np.cumsum(counts[order]) - counts[order]
+        return np.concatenate((ids, more)), starts, counts
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, first): the ids of text k are ids[first[k]:first[k + 1]]; null is as empty."""
@@ -70,34 +87,25 @@ class Encoder:
         data = texts.buffers()[2]
         if data is None or at[-1] == at[0]:
             return np.zeros(0, np.uint32), np.zeros(n + 1, np.int64)
-        raw = np.frombuffer(data, np.uint8)
-        cuts = _cuts(raw, int(at[0]), int(at[-1]))
-        full = at[1:] > at[:-1]
-        cuts = np.union1d(cuts, at[:-1][full])
-        offsets = np.append(cuts, at[-1]).astype(np.int64)
+        cuts = _cuts(np.frombuffer(data, np.uint8), at)
+        offsets = np.append(cuts, at[-1])
         pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts), [None, pa.py_buffer(offsets), data]).dictionary_encode()
-        words = pieces.dictionary.to_pylist()
-        fresh = [w for w in words if w not in self.known]
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self._forget()
-            fresh = words
-        for k in range(0, len(fresh), 20_000):
-            self._learn(fresh[k : k + 20_000])
-        flat, starts, lengths = self._store()
-        known = self.known
-        order = np.fromiter((known[w] for w in words), np.int64, len(words))[pieces.indices.to_numpy()]
-        ids = ragged_take(flat, starts, lengths, order)
-        ends = np.concatenate(([0], np.cumsum(lengths[order])))
-        return ids, ends[np.searchsorted(cuts, at)]
-
-
-def _cuts(raw: np.ndarray, low: int, high: int) -> np.ndarray:
-    """Places in raw[low:high] of white space after an ASCII non-space character, or after a letter of U+00C0 to U+00FF."""
-    x = raw[low:high]
-    space = (x == 32) | ((x >= 9) & (x <= 13))
+        ids, starts, counts = self._pieces(pieces.dictionary)
+        order = pieces.indices.to_numpy()
+        ends = np.concatenate(([0], np.cumsum(counts[order])))
+        return ragged_take(ids, starts, counts, order), ends[np.searchsorted(cuts, at)]
+
+
+def _cuts(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Starts of pieces: those of texts that are not empty, and white space after an ASCII non-space character or a letter of U+00C0 to U+00FF."""
+    low = int(at[0])
+    x = raw[low : int(at[-1])]
     solid = (x > 32) & (x < 127)
     solid[1:] |= (x[1:] >= 128) & (x[:-1] == 0xC3)
-    return np.flatnonzero(space[1:] & solid[:-1]) + 1 + low
+    cut = _SPACES[x]
+    cut[1:] &= solid[:-1]
+    cut[at[:-1][at[1:] > at[:-1]] - low] = True
+    return np.flatnonzero(cut) + low
 
 
 _ENCODERS: dict[str, Encoder] = {}
