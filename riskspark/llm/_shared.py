@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 
@@ -28,10 +29,32 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession, limit: int = 16 << 20) -> None:
+    """From now on Arrow batches hold at most so many bytes, however long the texts are; a smaller setting stays."""
+    now = str(spark.conf.get(BATCH, "64m")).rstrip("b")
+    if not now.isdigit() or not 0 < int(now) <= limit:
+        spark.conf.set(BATCH, str(limit))
+
+
+def release() -> None:
+    """Give freed memory back to the system: workers are reused by later stages."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 class Scratch:
     """Tables written below the shared folder: they cut lineage, survive lost executors, and go when dropped or at exit."""
 
     def __init__(self, spark: SparkSession, name: str):
+        bounded_batches(spark)
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self.made = 0
@@ -66,6 +89,16 @@ class Scratch:
         at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def packed(docs: DataFrame):
+    """All columns as one struct, so that names of an operator's own cannot clash with them; unpacked() turns it back."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+
+
+def unpacked(columns: list[str], put: dict | None = None) -> list:
+    """The columns of a packed row, some of them replaced."""
+    return [((put or {})[c] if c in (put or {}) else F.col(f"row.`{c}`")).alias(c) for c in columns]
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, component) of every node of the undirected edges (a, b); component is the smallest id reachable.
 

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._shared import bounded_batches, packed, release, unpacked
+
 UNKNOWN = "und"
 BUCKETS = 1 << 16
 SMOOTH = 0.5
@@ -142,10 +144,12 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
                         held += np.bincount(codes, minlength=BUCKETS)
                     else:
                         np.add.at(held, codes, 1)
+        release()
         for name, held in sums.items():
             seen = np.flatnonzero(held)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(seen)), pa.array(seen.astype(np.int32)), pa.array(held[seen])], names=["lang", "gram", "n"])
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     got = rows.mapInArrow(run, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     names = sorted(set(got["lang"].to_pylist()))
@@ -158,11 +162,13 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 
 def predicted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """docs with _lang: struct(lang_pred, score)."""
+    bounded_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
     def of(texts: pd.Series) -> pd.DataFrame:
         names, scores = held.value.predict([t if isinstance(t, str) else None for t in texts])
+        release()
         return pd.DataFrame({"lang_pred": names, "score": scores})
 
     return docs.withColumn("_lang", of(F.col(text)))
@@ -182,4 +188,5 @@ def digest(docs: DataFrame) -> DataFrame:
 def keep_known(docs: DataFrame) -> DataFrame:
     """docs without those that are und; columns as they are."""
     model = learn(docs.where(~is_held_out(F.col("doc_id"))).where("doc_id IS NOT NULL"))
-    return predicted(docs, model).where(F.col("_lang.lang_pred") != UNKNOWN).select(*docs.columns)
+    rows = predicted(docs.select(packed(docs), F.col("text").alias("text")), model)
+    return rows.where(F.col("_lang.lang_pred") != UNKNOWN).select(*unpacked(docs.columns))

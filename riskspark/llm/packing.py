@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import Scratch, slices
+from ._shared import Scratch, bounded_batches, release, slices
 from .tokens import crc, encoder, vocabulary, with_ends
 
 CAPACITY = 1024
@@ -79,6 +79,7 @@ def best_fit(sizes: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, n
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The pieces of every row: longer documents are cut into capacity tokens, the first piece takes the remainder."""
     path = path or vocabulary()
+    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
@@ -99,6 +100,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, t
                     [part.column(0).take(pa.array(doc)), pa.array(nth, pa.int32()), pa.array(start), pa.array(length), pa.array(sums, pa.int64())],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
+            release()
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, PIECE)
 
@@ -138,7 +140,8 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, per_task: int = PER_TASK, ro
         if not before:
             break
         last = nth == rounds - 1
-        tasks = -(-before // per_task)
+        # what is left over is less each time, so that a task may hold twice as many
+        tasks = -(-before // (per_task << nth))
         state = scratch.table(_round(open_.repartition(tasks, "doc_id", "piece"), nth, last, capacity))
         done.append(state.where("settled").select(*cols, "sequence_id", "offset"))
         open_ = state.where("NOT settled").select(*cols)

@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._shared import packed, unpacked
+
 #: The base patterns, and the least length of what is named.
 ASSIGN = (
     r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
@@ -152,7 +154,7 @@ def digest(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, mark: str = "[REDACTED]", text: str = "text") -> DataFrame:
     """docs with every span, overlapping ones merged, replaced by mark in the text; n_chars, where present, follows. Null texts stay null."""
     cols = docs.columns
-    x = scan(docs, text, tuple(cols))
+    x = scan(docs.select(packed(docs), F.col(text).alias("text")), "text", ("row",))
     x = x.withColumn(
         "cuts",
         F.expr(
@@ -165,6 +167,8 @@ def redact(docs: DataFrame, mark: str = "[REDACTED]", text: str = "text") -> Dat
     quoted = mark.replace("'", "\\'")
     clean = f"""CASE WHEN size(cuts) = 0 THEN t ELSE concat(array_join(zip_with(
         concat(array(0L), transform(cuts, c -> c.e)), transform(cuts, c -> c.s), (f, e) -> IF(e IS NULL, substring(t, CAST(f + 1 AS INT)), substring(t, CAST(f + 1 AS INT), CAST(e - f AS INT)))), '{quoted}')) END"""
-    x = x.withColumn("_clean", F.when(F.col(text).isNull(), F.lit(None)).otherwise(F.expr(clean)))
-    put = {text: F.col("_clean"), "n_chars": F.length("_clean").cast("long")}
-    return x.select(*((F.coalesce(put[c], F.col(c)) if c == "n_chars" else put[c]).alias(c) if c in put else F.col(c) for c in cols))
+    x = x.withColumn("_clean", F.when(F.col(f"row.`{text}`").isNotNull(), F.expr(clean)))
+    put = {text: F.col("_clean")}
+    if "n_chars" in cols:
+        put["n_chars"] = F.when(F.expr("size(cuts) > 0"), F.length("_clean").cast("long")).otherwise(F.col("row.n_chars"))
+    return x.select(*unpacked(cols, put))

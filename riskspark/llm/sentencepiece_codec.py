@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import ragged_take, slices
+from ._shared import bounded_batches, ragged_take, release, slices
 from .tokens import crc, vocabulary
 
 SPACE = "▁"
@@ -218,6 +218,7 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", doc_id:
                 ids, first = codec(path).encode(own.column(1))
                 yield pa.RecordBatch.from_arrays([own.column(0), pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids, pa.int32()))], names=["doc_id", "ids"])
 
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
 
 
@@ -261,6 +262,8 @@ def digest(docs: DataFrame) -> DataFrame:
                     ],
                     names=["doc_id", "n_pieces", "n_byte_pieces", "ids_crc32", "round_trip"],
                 )
+            release()
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(run, "doc_id long, n_pieces long, n_byte_pieces long, ids_crc32 long, round_trip boolean")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import Scratch, components, forest
+from ._shared import Scratch, components, forest, packed, release, unpacked
 
 SHINGLE = 4
 SEED = 42
@@ -52,7 +52,9 @@ def fingerprint_column(text, shingle: int = SHINGLE, seed: int = SEED):
 
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t, shingle, seed) for t in texts], np.uint64).view(np.int64))
+        out = np.array([fingerprint(t, shingle, seed) for t in texts], np.uint64).view(np.int64)
+        release()
+        return pd.Series(out)
 
     return of(text)
 
@@ -207,5 +209,6 @@ def keep_first(docs: DataFrame) -> DataFrame:
     A component without any id keeps its rows, one of each text.
     """
     first = near_groups(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+    rows = docs.select(packed(docs), F.col("doc_id").alias("_own"))
+    kept = rows.join(first, F.col("_own").eqNullSafe(F.col("_first")), "left_semi")
+    return kept.select(*unpacked(docs.columns)).dropDuplicates(["doc_id", "text"])

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import Scratch, slices
+from ._shared import Scratch, packed, release, slices, unpacked
 
 LENGTH = 200
 #: A power of two; every string's anchor is among its first WINDOW places.
@@ -106,6 +106,7 @@ def _anchor_rows(keyed: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(core), pa.array(reach), own.column(0).take(pa.array(doc)), pa.array(place)], names=["core", "reach", "id", "place"]
                 )
+            release()
 
     return keyed.mapInArrow(run, "core long, reach long, id long, place long")
 
@@ -283,6 +284,7 @@ def _suffixes(wanted: DataFrame, keyed: DataFrame, cuts: np.ndarray) -> DataFram
                     ],
                     names=["bucket", "id", "place", "kind", "suffix", "context"],
                 )
+            release()
 
     return joined.select("id", "tag", "text", "asked").mapInArrow(run, "bucket int, id long, place long, kind int, suffix binary, context binary")
 
@@ -318,6 +320,7 @@ def _compared(suffixes: DataFrame) -> DataFrame:
                 ],
                 names=["id", "tag", "span"],
             )
+        release()
 
     return suffixes.repartition("bucket").mapInArrow(run, "id long, tag int, span long")
 
@@ -359,7 +362,10 @@ def kept_bytes(text: str | None, spans: list[tuple[int, int]]) -> bytes:
 
 
 def _with_spans(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    own = docs.withColumns({"_id": F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))), "_tag": F.expr(f"CAST(xxhash64(`{text}`) & {(1 << TAG_BITS) - 1} AS INT)")})
+    own = docs.select(
+        packed(docs), F.col(text).alias("_text"), F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("_id"),
+        F.expr(f"CAST(xxhash64(`{text}`) & {(1 << TAG_BITS) - 1} AS INT)").alias("_tag"),
+    )
     spans = repeated_spans(docs, text, doc_id).select(F.col("id").alias("_id"), F.col("tag").alias("_tag"), F.col("spans").alias("_spans"))
     return own.join(spans, ["_id", "_tag"], "left")
 
@@ -380,10 +386,11 @@ def digest(docs: DataFrame) -> DataFrame:
             rest = kept_bytes(t, own)
             gone = sum(e - f for f, e in own)
             out.append((len(rest) + gone, gone, len(own), hashlib.sha256(rest).hexdigest()))
+        release()
         return pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     rows = _with_spans(docs.select("doc_id", "text"), "text", "doc_id")
-    return rows.select("doc_id", of("text", "_spans").alias("r")).select("doc_id", "r.*")
+    return rows.select(F.col("row.doc_id").alias("doc_id"), of("_text", "_spans").alias("r")).select("doc_id", "r.*")
 
 
 def cut_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -394,10 +401,14 @@ def cut_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
     @F.pandas_udf("string")
     def of(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([kept_bytes(t, merged(s)).decode("utf-8", "ignore") for t, s in zip(texts, spans, strict=True)])
+        out = pd.Series([kept_bytes(t, merged(s)).decode("utf-8", "ignore") for t, s in zip(texts, spans, strict=True)])
+        release()
+        return out
 
     rows = _with_spans(docs, text, doc_id)
-    cut = rows.withColumn("_cut", F.when(F.col("_spans").isNull(), F.col(text)).otherwise(of(F.col(text), F.col("_spans"))))
+    cut = rows.withColumn("_cut", F.when(F.col("_spans").isNull(), F.col("_text")).otherwise(of(F.col("_text"), F.col("_spans"))))
     kept = cut.where("_spans IS NULL OR _cut <> ''")
-    put = {text: F.col("_cut"), "n_chars": F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("_cut").cast("long")) if "n_chars" in docs.columns else None}
-    return kept.select(*(put[c].alias(c) if c in put else F.col(c) for c in docs.columns))
+    put = {text: F.col("_cut")}
+    if "n_chars" in docs.columns:
+        put["n_chars"] = F.when(F.col("_spans").isNull(), F.col("row.n_chars")).otherwise(F.length("_cut").cast("long"))
+    return kept.select(*unpacked(docs.columns, put))

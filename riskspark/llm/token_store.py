@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import Scratch, slices
+from ._shared import Scratch, release, slices
 from .tokens import crc, encoder, vocabulary, with_ends
 
 MAGIC = b"RSDAC1\0\0"
@@ -153,6 +153,7 @@ def write(docs: DataFrame, scratch_path: str, path: str | None = None, text: str
                     names=["part", "nth", "n_docs", "n_ids", "payload"],
                 )
                 nth += 1
+            release()
 
     rows.mapInArrow(run, SEGMENT).write.option("compression", "none").parquet(scratch_path)
 
