@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ._shared import Scratch
+
 #: Expected number of sampled keys for each range, and the share of the mean above which a range is subdivided.
 SAMPLE_PER_RANGE = 32
 OVERFULL = 2.0
@@ -59,6 +61,8 @@ def shard(
         F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("i"),
         (F.octet_length(t) + F.lit(1)).cast("long").alias("size"), F.crc32(t).alias("crc"), F.md5(t).alias("g"),
     )
+    # texts are read once; the rows that the splitters are drawn from, counted and laid out by are short
+    rows = Scratch(docs.sparkSession, "sharding").table(rows)
     total = rows.agg(F.sum("size").alias("s")).first().s
     bounds: list[tuple[str, int]] = []
     if total:
