@@ -13,6 +13,10 @@ equal leading tokens are never parted, so suffixes on two sides of a boundary di
 which settles the comparison across boundaries. A bucket sorts locally by multikey quicksort, token by token on the groups still
 tied, finds the common prefixes of neighbours, and does likewise for the reversed left contexts. The string of distance d
 before an anchor is repeated if another suffix lies in the same d-block on the left and the same (LENGTH - d)-block on the right.
+
+Hot passages. Cores that are frequent in the sampled documents are known to be repeated; their anchors are dealt by reach, and their
+suffixes twice, once by SIDE more bytes on the left, for d >= SIDE, and once by the other bytes that all strings of smaller d hold
+on the right. So a passage that a third of all documents hold is spread by what surrounds it.
 """
 
 from __future__ import annotations
@@ -36,6 +40,11 @@ CORE = LENGTH - WINDOW + 1
 #: Documents that the splitters are sampled from (expected), and buckets for each partition.
 SAMPLE = 2000
 BUCKETS = 4
+#: A core is hot if it occurs in HOT_SHARE of the sampled documents, and HOT_LEAST of them at least.
+HOT_SHARE, HOT_LEAST = 0.004, 8
+SIDE = WINDOW // 2
+#: Buckets that suffixes of hot cores are dealt to, for each bucket of the others.
+HOT_BUCKETS = 1
 #: Bits of a text's hash that tell rows alike in id apart.
 TAG_BITS = 15
 
@@ -114,8 +123,12 @@ def _anchor_rows(keyed: DataFrame) -> DataFrame:
 FULL, PART, PEER = 1, 2, 4
 
 
-def _candidates(rows: DataFrame) -> DataFrame:
-    """(id, place, kind): FULL runs are repeated throughout; PART runs must be compared, with one PEER of each other reach."""
+def _candidates(rows: DataFrame, hot: np.ndarray) -> DataFrame:
+    """(id, place, kind): FULL runs are repeated throughout; PART runs must be compared, with one PEER of each other reach.
+
+    Rows of one core meet in one task, in order of their reach; those of hot cores, which are known to be repeated and to have
+    other reaches, only meet those of the same reach.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # the last row waits for its successor; before is the core of the row ahead of its run of equal (core, reach)
@@ -142,8 +155,9 @@ def _candidates(rows: DataFrame) -> DataFrame:
             use = n if last else n - 1
             next_core, next_same = np.append(same_core[1:], False), np.append(same[1:], False)
             full = same | next_same
-            repeated = same_core | next_core
-            others = led | (next_core & ~next_same)
+            known = np.isin(core, hot)
+            repeated = same_core | next_core | known
+            others = led | (next_core & ~next_same) | known
             kind = np.where(full, FULL, 0) | np.where(~full & repeated, PART, 0) | np.where(full & ~next_same & others, PEER, 0)
             keep = np.flatnonzero(kind[:use])
             if len(keep):
@@ -156,7 +170,10 @@ def _candidates(rows: DataFrame) -> DataFrame:
                 ahead = bool(led[n - 1])
                 wait = t.slice(n - 1).combine_chunks().to_batches()[0]
 
-    return rows.repartition("core").sortWithinPartitions("core", "reach").mapInArrow(run, "id long, place long, kind int")
+    listed = F.array(*(F.lit(int(c)) for c in hot)).cast("array<bigint>")
+    deal = F.when(F.array_contains(listed, F.col("core")), F.col("reach")).otherwise(F.col("core")) if len(hot) else F.col("core")
+    dealt = rows.withColumn("deal", deal).repartition("deal").sortWithinPartitions("core", "reach").drop("deal")
+    return dealt.mapInArrow(run, "id long, place long, kind int")
 
 
 def _tokens(rows: np.ndarray) -> np.ndarray:
@@ -200,10 +217,11 @@ def _matrix(column: pa.Array, width: int, backwards: bool = False) -> tuple[np.n
     raw = np.frombuffer(x.buffers()[2] or b"", np.uint8)
     n = np.diff(at)
     out = np.zeros((len(x), width), np.uint8)
-    row = np.repeat(np.arange(len(x)), n)
-    col = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    src = np.repeat(at[:-1], n) + col
-    out[row, (np.repeat(n, n) - 1 - col) if backwards else col] = raw[src]
+    for f in range(0, len(x), 4096):
+        m = n[f : f + 4096]
+        row = np.repeat(np.arange(f, f + len(m)), m)
+        col = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
+        out[row, (np.repeat(m, m) - 1 - col) if backwards else col] = raw[np.repeat(at[f : f + len(m)], m) + col]
     return out, n
 
 
@@ -237,31 +255,41 @@ def repeated_starts(right: pa.Array, left: pa.Array, back: np.ndarray, fore: np.
     return np.concatenate(rows), np.concatenate(ds)
 
 
-def _splitters(keyed: DataFrame, buckets: int) -> np.ndarray:
-    """Quantiles of the leading tokens of the anchors of about SAMPLE documents, drawn by a hash of the row."""
+def _sampled(keyed: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of about SAMPLE documents, drawn by a hash of the row: quantiles of the leading tokens of their anchors, and their hot cores."""
     many = keyed.count()
     share = min(1.0, SAMPLE / max(1, many))
     drawn = keyed.where(f"(xxhash64(id, tag) & 1048575) < {max(1, round(share * 1048576))}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_64_intdigest as h
+
         for batch in batches:
             for f, z in slices(batch.column(2), 2 << 20):
                 data, raw, first, end = _raw(batch.column(2).slice(f, z - f))
                 _, a, _, _ = anchors(raw, first, end)
-                a = a[:: max(1, len(a) // 4096)]
                 lead = np.array([int.from_bytes(data[x : x + 8], "big") for x in a.tolist()], np.uint64)
-                yield pa.RecordBatch.from_arrays([pa.array(lead.view(np.int64))], names=["lead"])
+                core = np.array([h(data[x : x + CORE]) for x in a.tolist()], np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array(lead.view(np.int64)), pa.array(core.view(np.int64))], names=["lead", "core"])
 
-    got = np.sort(drawn.mapInArrow(run, "lead long").toArrow()["lead"].to_numpy().view(np.uint64))
-    return np.unique(got[np.arange(1, buckets) * len(got) // buckets]) if len(got) else got
+    marks = drawn.mapInArrow(run, "lead long, core long")
+    least = max(HOT_LEAST, round(HOT_SHARE * min(SAMPLE, many)))
+    hot = marks.groupBy("core").agg(F.count("*").alias("n")).where(F.col("n") >= least).orderBy(F.desc("n")).limit(4096)
+    leads = marks.where("(xxhash64(core) & 3) = 0")
+    got = np.sort(leads.select("lead").toArrow()["lead"].to_numpy().view(np.uint64))
+    cuts = np.unique(got[np.arange(1, buckets) * len(got) // buckets]) if len(got) else got
+    return cuts, np.sort(hot.select("core").toArrow()["core"].to_numpy())
 
 
-def _suffixes(wanted: DataFrame, keyed: DataFrame, cuts: np.ndarray) -> DataFrame:
-    """(bucket, id, place, kind, suffix, context) of the wanted anchors, fetched from their texts."""
+def _suffixes(wanted: DataFrame, keyed: DataFrame, cuts: np.ndarray, hot: np.ndarray) -> DataFrame:
+    """(bucket, id, place, kind, low, high, suffix, context) of the wanted anchors, fetched from their texts; low to high: the d to compare."""
+    spread = HOT_BUCKETS * (len(cuts) + 1)
     asked = wanted.groupBy("id", "tag").agg(F.sort_array(F.collect_set(F.expr("place * 8 + kind"))).alias("asked"))
     joined = keyed.join(asked, ["id", "tag"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_64_intdigest as h
+
         for batch in batches:
             for f, z in slices(batch.column(2), 4 << 20):
                 own = batch.slice(f, z - f)
@@ -277,16 +305,31 @@ def _suffixes(wanted: DataFrame, keyed: DataFrame, cuts: np.ndarray) -> DataFram
                 suffix = [data[x:y].tobytes() for x, y in zip(a.tolist(), stop.tolist(), strict=True)]
                 lead = np.array([int.from_bytes(x[:8], "big") for x in suffix], np.uint64)
                 context = [data[x:y].tobytes() for x, y in zip(begin.tolist(), a.tolist(), strict=True)]
+                bucket = np.searchsorted(cuts, lead, "right")
+                low, high = place & 127, (place >> 7) & 127
+                rows = np.arange(len(place))
+                if len(hot):
+                    core = np.array([h(x[:CORE]) for x in suffix], np.uint64).view(np.int64)
+                    spots = np.flatnonzero(np.isin(core, hot))
+                    bucket[spots] = len(cuts) + 1 + np.array([h(context[i][-SIDE:], 1) % spread for i in spots.tolist()], np.int64)
+                    # a string that starts less than SIDE before the anchor holds LENGTH - SIDE + 1 bytes after it
+                    right = len(cuts) + 1 + np.array([h(suffix[i][: LENGTH - SIDE + 1], 2) % spread for i in spots.tolist()], np.int64)
+                    rows, bucket = np.concatenate((rows, spots)), np.concatenate((bucket, right))
+                    low, high = np.concatenate((low, low[spots])), np.concatenate((high, np.minimum(high[spots], SIDE - 1)))
+                    low[spots] = np.maximum(low[spots], SIDE)
+                    some = np.flatnonzero(low <= high)
+                    rows, bucket, low, high = rows[some], bucket[some], low[some], high[some]
+                at = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.searchsorted(cuts, lead, "right"), pa.int32()), own.column(0).take(pa.array(doc)), pa.array(place),
-                        pa.array(kind, pa.int32()), pa.array(suffix, pa.binary()), pa.array(context, pa.binary()),
+                        pa.array(bucket, pa.int32()), own.column(0).take(pa.array(doc[rows])), pa.array(place[rows]), pa.array(kind[rows], pa.int32()),
+                        pa.array(low, pa.int32()), pa.array(high, pa.int32()), pa.array(suffix, pa.binary()).take(at), pa.array(context, pa.binary()).take(at),
                     ],
-                    names=["bucket", "id", "place", "kind", "suffix", "context"],
+                    names=["bucket", "id", "place", "kind", "low", "high", "suffix", "context"],
                 )
             release()
 
-    return joined.select("id", "tag", "text", "asked").mapInArrow(run, "bucket int, id long, place long, kind int, suffix binary, context binary")
+    return joined.select("id", "tag", "text", "asked").mapInArrow(run, "bucket int, id long, place long, kind int, low int, high int, suffix binary, context binary")
 
 
 def _compared(suffixes: DataFrame) -> DataFrame:
@@ -303,7 +346,7 @@ def _compared(suffixes: DataFrame) -> DataFrame:
         for f, z in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             t = whole.take(pa.array(by[f:z])).combine_chunks()
             place, kind = t["place"].to_numpy(), t["kind"].to_numpy()
-            row, d = repeated_starts(t["suffix"].chunk(0), t["context"].chunk(0), (place >> 7) & 127, place & 127)
+            row, d = repeated_starts(t["suffix"].chunk(0), t["context"].chunk(0), t["high"].to_numpy(), t["low"].to_numpy())
             part = (kind[row] & PART) > 0
             row, d = row[part], d[part]
             if not len(row):
@@ -329,12 +372,12 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     """(id, tag, spans): for each row that has any, spans of repeated bytes (they may overlap), packed as first * 2 ** 32 + end."""
     scratch = Scratch(docs.sparkSession, "suffixes")
     keyed = _keyed(docs, doc_id, text)
-    found = scratch.table(_candidates(_anchor_rows(keyed)).withColumn("tag", F.expr("CAST(place >> 45 AS INT)")))
-    scratch.free_shuffles()
     buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = _splitters(keyed, buckets)
+    cuts, hot = _sampled(keyed, buckets)
+    found = scratch.table(_candidates(_anchor_rows(keyed), hot).withColumn("tag", F.expr("CAST(place >> 45 AS INT)")))
+    scratch.free_shuffles()
     wanted = found.where(f"(kind & {PART | PEER}) > 0").select("id", "tag", "place", "kind")
-    part = scratch.table(_compared(_suffixes(wanted, keyed, cuts)))
+    part = scratch.table(_compared(_suffixes(wanted, keyed, cuts, hot)))
     scratch.free_shuffles()
     a = "((place >> 14) & 2147483647)"
     full = found.where(f"(kind & {FULL}) > 0").selectExpr(
