@@ -49,7 +49,12 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        docs = scratch.table(docs) if k < len(STAGES) - 1 else docs
-    return docs
+    for _, stage in STAGES[:-1]:
+        held = list(Scratch.live)
+        kept = scratch.table(stage(spark, docs, sf_dir))
+        # a stage's own tables are not needed once its result is written, nor is what it has read
+        for own in [s for s in Scratch.live if s not in held]:
+            own.clear()
+        scratch.drop(docs)
+        docs = kept
+    return STAGES[-1][1](spark, docs, sf_dir)

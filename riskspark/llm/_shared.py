@@ -53,8 +53,12 @@ def release() -> None:
 class Scratch:
     """Tables written below the shared folder: they cut lineage, survive lost executors, and go when dropped or at exit."""
 
+    #: Those whose tables are not removed yet.
+    live: list[Scratch] = []
+
     def __init__(self, spark: SparkSession, name: str):
         bounded_batches(spark)
+        Scratch.live.append(self)
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self.made = 0
@@ -79,6 +83,8 @@ class Scratch:
         self.spark.sparkContext._jvm.System.gc()
 
     def clear(self) -> None:
+        if self in Scratch.live:
+            Scratch.live.remove(self)
         try:
             self._delete(self.root)
         except Exception:  # noqa: BLE001  the session may have ended before

@@ -296,3 +296,15 @@ def near_vectors(table: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
 
 def digest(table: DataFrame) -> DataFrame:
     return near_vectors(table)
+
+
+def oracle(cosine: float = COSINE) -> str:
+    """The digest for DuckDB over the view embeddings, from all pairs; for small tables."""
+    return f"""
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT r, e, len(e) AS n FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+pair AS (SELECT a.r AS a, b.r AS b FROM ok a JOIN ok b ON a.r <> b.r AND a.n = b.n WHERE list_cosine_similarity(a.e, b.e) >= {cosine}),
+reach AS (SELECT r AS a, r AS b FROM v UNION SELECT reach.a, pair.b FROM reach JOIN pair ON reach.b = pair.a),
+comp AS (SELECT reach.a AS r, min(vec_id) AS component_id FROM reach JOIN v ON v.r = reach.b GROUP BY 1),
+n AS (SELECT a AS r, count(*) AS n FROM pair GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept FROM v JOIN comp USING (r) LEFT JOIN n USING (r)"""

@@ -10,6 +10,7 @@ Windows at or above the class's threshold are merged into spans; runs on the all
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -172,3 +173,39 @@ def redact(docs: DataFrame, mark: str = "[REDACTED]", text: str = "text") -> Dat
     if "n_chars" in cols:
         put["n_chars"] = F.when(F.expr("size(cuts) > 0"), F.length("_clean").cast("long")).otherwise(F.col("row.n_chars"))
     return x.select(*unpacked(cols, put))
+
+
+def _alike(c: CharClass, times: int = 8) -> str:
+    """A run of one character, for engines without back references."""
+    own = [chr(x) for x in range(33, 127) if re.match(f"[{c.chars}]", chr(x))]
+    return "|".join(f"[{x}]{{{times}}}" for x in own)
+
+
+def oracle(classes=CLASSES) -> str:
+    """The digest for DuckDB over the view documents: each window's entropy from its own counts."""
+    quote = lambda p: "'" + p.replace("'", "''") + "'"
+    base = (("assign", ASSIGN, f"length(regexp_extract(x, {quote(ASSIGN)}, 2)) >= {ASSIGN_LEAST}"), ("access", ACCESS, "TRUE"), ("hex", HEX, "TRUE"))
+
+    def places(pattern: str) -> str:
+        return f"""(SELECT r, x, e - length(x) AS s, e FROM (SELECT r, x, j, sum(length(p) + length(x)) OVER (PARTITION BY r ORDER BY j) AS e FROM (
+  SELECT r, unnest(g[1:len(m)]) AS p, unnest(m) AS x, unnest(range(len(m))) AS j FROM (SELECT r, regexp_extract_all(t, {quote(pattern)}, 0) AS m, regexp_split_to_array(t, {quote(pattern)}) AS g FROM d) WHERE len(m) > 0)))"""
+
+    parts = [f"SELECT r, {k} AS k, '{name}' AS kind, s, e FROM {places(pattern)} WHERE {test}" for k, (name, pattern, test) in enumerate(base)]
+    extra = []
+    for k, c in enumerate(classes, 3):
+        allow = [quote(p if "\\1" not in p else _alike(c)) for p in ALLOW]
+        tests = " AND ".join([f"regexp_matches(x, {quote(n)})" for n in c.needs] + [f"NOT regexp_matches(x, {p})" for p in allow])
+        table = "[" + ", ".join(str(round(SCALE * n * math.log2(n)) if n else 0) for n in range(c.window + 1)) + "]"
+        extra.append(f"""SELECT r, {k} AS k, '{c.name}' AS kind, min(i) AS s, max(i) + {c.window} AS e FROM (SELECT *, sum(new) OVER (PARTITION BY r, s ORDER BY i) AS island FROM (
+  SELECT r, s, i, (coalesce(i - lag(i) OVER (PARTITION BY r, s ORDER BY i), {c.window + 1}) > {c.window})::INT AS new FROM (
+    SELECT r, s, i FROM (SELECT r, s, i, ch, count(*) AS n FROM (SELECT r, s, s + i AS i, unnest(string_split(substr(x, i + 1, {c.window}), '')) AS ch FROM (
+      SELECT r, s, x, unnest(range(0, length(x) - {c.window - 1})) AS i FROM {places(f"[{c.chars}]{{{c.window},}}")} WHERE {tests})) GROUP BY ALL) GROUP BY r, s, i HAVING sum({table}[n + 1]) <= {c.most()}))) GROUP BY r, s, island""")
+    show = "kind || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT), ',' ORDER BY s, k, e"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+base AS ({' UNION ALL '.join(parts)}),
+added AS ({' UNION ALL '.join(extra)}),
+spans AS (SELECT * FROM base UNION ALL SELECT * FROM added a WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.r = a.r AND b.s <= a.s AND a.e <= b.e)),
+b AS (SELECT r, {', '.join(f"count(*) FILTER (kind = '{n}') AS n_{n}" for n, _, _ in base)}, string_agg({show}) AS x FROM base GROUP BY r),
+s AS (SELECT r, string_agg({show}) AS x FROM spans GROUP BY r)
+SELECT doc_id, {', '.join(f"coalesce(n_{n}, 0) AS n_{n}" for n, _, _ in base)}, sha256(coalesce(b.x, '')) AS base_sha256, coalesce(s.x, '') AS spans FROM d LEFT JOIN b USING (r) LEFT JOIN s USING (r)"""

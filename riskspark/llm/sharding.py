@@ -104,3 +104,14 @@ def write_shards(docs: DataFrame, path: str, shards: int = 16) -> None:
     """Write whole records, one folder for each shard, in slot order within each file."""
     t = shard(docs, shards).select("doc_id", "shard", "slot")
     docs.join(t, "doc_id").repartition(shards, "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+
+
+def oracle(shards: int = 16) -> str:
+    """shard() for DuckDB over the view documents, the checksum spelled out byte by byte."""
+    return f"""
+WITH tab AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS tab),
+d AS (SELECT doc_id, t, CAST(octet_length(encode(t)) + 1 AS BIGINT) AS size, md5(t) AS g, coalesce(doc_id, -9223372036854775808) AS i FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
+c AS (SELECT *, xor(list_reduce(list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda h: CAST('0x' || h AS BIGINT)), lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) AS crc FROM d, tab),
+p AS (SELECT *, coalesce(sum(size) OVER (ORDER BY g, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begin_at, sum(size) OVER () AS total FROM c),
+s AS (SELECT *, CAST(least({shards - 1}, begin_at * {shards} // total) AS INTEGER) AS shard FROM p)
+SELECT doc_id, size, CAST(crc AS BIGINT) AS text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY g, i) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM s"""

@@ -455,3 +455,19 @@ def cut_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     if "n_chars" in docs.columns:
         put["n_chars"] = F.when(F.col("_spans").isNull(), F.col("row.n_chars")).otherwise(F.length("_cut").cast("long"))
     return kept.select(*unpacked(docs.columns, put))
+
+
+def oracle(length: int = LENGTH) -> str:
+    """The digest for DuckDB over the view documents: every string of length bytes is counted by its md5."""
+    return f"""
+WITH n AS (SELECT r, doc_id, b, CAST(octet_length(b) AS BIGINT) AS n FROM (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents)),
+w AS (SELECT r, i, md5(b[i + 1:i + {length}]) AS h FROM (SELECT r, b, unnest(range(0, n - {length - 1})) AS i FROM n WHERE n >= {length})),
+dup AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY h) AS c FROM w) WHERE c > 1),
+new AS (SELECT r, i, (coalesce(i - lag(i) OVER (PARTITION BY r ORDER BY i), {length + 1}) > {length})::INT AS new FROM dup),
+grp AS (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS g FROM new),
+span AS (SELECT r, min(i) AS a, max(i) + {length} AS e FROM grp GROUP BY r, g),
+piece AS (SELECT r, coalesce(lag(e) OVER (PARTITION BY r ORDER BY a), 0) AS f, a AS t FROM span UNION ALL SELECT r, max(e), max(n) FROM span JOIN n USING (r) GROUP BY r),
+cut AS (SELECT r, string_agg(hex(b[f + 1:t]), '' ORDER BY f) AS hx FROM piece JOIN n USING (r) WHERE t > f GROUP BY r),
+gone AS (SELECT r, CAST(sum(e - a) AS BIGINT) AS removed, count(*) AS spans FROM span GROUP BY r)
+SELECT doc_id, n AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(CASE WHEN spans IS NULL THEN b ELSE unhex(coalesce(hx, '')) END) AS kept_sha256
+FROM n LEFT JOIN gone USING (r) LEFT JOIN cut USING (r)"""
