@@ -1,4 +1,4 @@
-"""Command line: `python -m riskspark report|diff|score|wide ...`."""
+"""Command line: `python -m riskspark report|diff|score|run ...`."""
 
 from __future__ import annotations
 
@@ -39,8 +39,18 @@ def main(argv: list[str] | None = None) -> int:
     score.add_argument("--keep", required=True)
     score.add_argument("-o", "--output", required=True)
     score.add_argument("--sql", help="also write the SQL here")
+    run = sub.add_parser("run", help="assemble the wide table of a model and score it")
+    run.add_argument("--config", required=True)
+    run.add_argument("--model-config")
+    run.add_argument("--model", required=True)
+    run.add_argument("--metadata", required=True)
+    run.add_argument("--sample", required=True, help="a table of the catalog, or a parquet or csv path")
+    run.add_argument("--table", action="append", default=[], help="name=path of a parquet table that the catalog does not hold")
+    run.add_argument("-o", "--output", required=True)
+    run.add_argument("--report")
+    run.add_argument("--sql")
     args = parser.parse_args(argv)
-    return {"report": _report, "diff": _diff, "score": _score}[args.command](args)
+    return {"report": _report, "diff": _diff, "score": _score, "run": _run}[args.command](args)
 
 
 def _report(args) -> int:
@@ -92,5 +102,26 @@ def _score(args) -> int:
     return 0
 
 
+def _run(args) -> int:
+    from .pipeline import ScoringPipeline
+    from .plans import metadata as md
+    from .plans import planner
+    from .reports.sinks import save_text
+    from .sources import model_text, readers
+
+    spark = _session()
+    config = readers.load_config(args.config, args.model_config)
+    made = ScoringPipeline(model_text.load_model(args.model), md.load(args.metadata), config)
+    sample = readers.read_sample(spark, args.sample) if "/" in args.sample or args.sample.endswith((".csv", ".parquet")) else spark.table(args.sample)
+    paths = dict(x.split("=", 1) for x in args.table)
+    alias = (config.get("project") or {}).get("platform_alias", "")
+    made.run(sample, planner.catalog(spark, paths, alias)).write.mode("overwrite").parquet(args.output)
+    if args.report:
+        save_text(args.report, made.report())
+    if args.sql:
+        made.save_sql(args.sql, args.sample, sample.columns)
+    return 0
+
+
 if __name__ == "__main__":
     sys.exit(main())

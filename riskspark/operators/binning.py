@@ -261,6 +261,22 @@ def joined_edges(edges: list[float], runs: list[tuple[int, int]]) -> list[float]
     return [e for i, e in enumerate(edges) if i not in inside]
 
 
+def cut_points(points: list[float]) -> list[float]:
+    """Edges with open ends from cut points, which must be finite and rise."""
+    if any(not math.isfinite(p) for p in points) or any(a >= b for a, b in zip(points, points[1:], strict=False)):
+        raise ValueError("cut points must be finite and rise")
+    return [-INF, *points, INF]
+
+
+def woe_frame(df: DataFrame, tables: dict[str, tuple[list[float], list[float]]], keep: list[str], missing_woe: float = 0.0) -> DataFrame:
+    """keep and, for each feature, the WOE of its (a, b] bin: tables holds interior edges and a value for each bin. One projection."""
+
+    def value(name: str, interior: list[float], values: list[float]) -> Column:
+        return F.coalesce(F.get(F.expr(_array(values)), right_closed(name, interior)), F.lit(missing_woe)).alias(name)
+
+    return df.select(*keep, *(value(n, e, v) for n, (e, v) in tables.items()))
+
+
 def edges_from_texts(texts: list[str]) -> list[float]:
     """Sorted distinct edges from texts: inf and -inf are read, `missing` is skipped, and the lowest edge is open."""
     out = sorted({float(t) for t in texts if t != "missing"})

@@ -55,11 +55,11 @@ def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 def as_of(
     sample: DataFrame, history: DataFrame, key: tuple[str, str], time: tuple[str, str], values: list[str], days: int | None = None,
-    tie: Iterable[str] = (), strict: bool = False, prefix: str = "",
+    tie: Iterable[str] = (), strict: bool = False, prefix: str = "", unit: str = "days",
 ) -> DataFrame:
     """sample with the values, and time, of the latest history row of its key not after its own time (strict: before it).
 
-    days bounds how old that row may be. Both sides are laid out by key and time once and the last history row is
+    days (or months, by unit) bounds how old that row may be. Both sides are laid out by key and time once and the last history row is
     carried forward, so a key with many rows costs its rows and not their pairs. Ties in time go to the largest `tie`.
     """
     left_key, right_key = key
@@ -77,7 +77,7 @@ def as_of(
     x = both.withColumn("last", F.last("seen", ignorenulls=True).over(w)).where("row IS NOT NULL")
     ok = F.col("k").isNotNull() & F.col("t").isNotNull() & F.col("last").isNotNull()
     if days is not None:
-        ok &= F.datediff(F.col("t"), F.col("last.t")) <= days
+        ok &= distance(F.col("t"), F.col("last.t"), unit) <= days
     kept = F.when(ok, F.col("last"))
     return x.withColumn("last", kept).select(
         *(F.col(f"row.c_{i}").alias(c) for i, c in enumerate(sample.columns)), F.col("last.t").alias(f"{prefix}{right_time}"),

@@ -129,6 +129,17 @@ def two_sample_ks(df: DataFrame, features: list[str], target: str, least: int =
     )
 
 
+def ks_table(df: DataFrame, features: list[str], target: str, least: int = 2) -> DataFrame:
+    """two_sample_ks() with p_value, the asymptotic two-sided one as a column, and the largest KS first."""
+    x = two_sample_ks(df, features, target, least)
+    at = F.col("ks") * F.sqrt(divide(F.col("goods") * F.col("bads"), F.col("goods") + F.col("bads"), 0))
+    series = F.aggregate(
+        F.sequence(F.lit(1), F.lit(100)), F.lit(0.0), lambda s, k: s + F.when(k % 2 == 1, 2.0).otherwise(-2.0) * F.exp(-2.0 * k * k * at * at)
+    )
+    p = F.when(at < 0.2, 1.0).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
+    return x.withColumn("p_value", p).orderBy(F.desc("ks"), "feature")
+
+
 def kolmogorov_p(ks: float, goods: int, bads: int) -> float:
     """The asymptotic two-sided p-value of a two-sample KS statistic."""
     if not goods or not bads:

@@ -262,6 +262,11 @@ def _join(out, sample, table, names, fresh, group, metadata, resolver, config) -
         if custom.md5:
             side = side.withColumn(key, joins.md5_key(F.col(key)))
         timed = out.withColumn("_issue", day(F.col(rule.sample_field), dict(out.dtypes)[rule.sample_field]))
+        if rule.mode == "range" and rule.direction == "<=" and rule.dedup:
+            # the latest row of a key is the nearest one: no pairs need be formed
+            got = joins.as_of(timed, side, (sample_key, key), ("_issue", "_time"), list(physical), rule.window, rule.tie, unit=rule.unit)
+            got = got.where(F.col("_time").isNotNull()) if how == "inner" else got
+            return got.drop("_issue", "_time").withColumnsRenamed({c: n for c, n in physical.items() if c != n})
         got = joins.interval(
             timed, side, (sample_key, key), ("_issue", "_time"), list(physical), rule.window, rule.unit, "between" if rule.mode == "between" else rule.direction,
             how, [config.sample_key] if rule.dedup else None, rule.tie,
