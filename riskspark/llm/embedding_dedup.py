@@ -110,22 +110,6 @@ def entries(classes: DataFrame) -> DataFrame:
     return classes.select("cid", "embedding").mapInArrow(run, "cid long, flts array<long>")
 
 
-def _first_shared(a: list[np.ndarray], i: np.ndarray, j: np.ndarray, flt: np.ndarray) -> np.ndarray:
-    """Whether flt is the smallest number in both a[i] and a[j]; numbers are sorted."""
-    wide = max(map(len, a))
-    x = np.full((len(a), wide), -1, np.int64)
-    for k, v in enumerate(a):
-        x[k, : len(v)] = v
-    out = np.empty(len(i), bool)
-    step = max(1, 4_000_000 // (wide * wide))
-    for s in range(0, len(i), step):
-        e = s + step
-        y, z = x[i[s:e]], x[j[s:e]]
-        below = (y >= 0) & (y < flt[s:e, None])
-        out[s:e] = ~((y[:, :, None] == z[:, None, :]) & below[:, :, None]).any((1, 2))
-    return out
-
-
 class _Bucket:
     """Members of the cells of one run; links are counted once, edges make a forest."""
 
@@ -133,7 +117,13 @@ class _Bucket:
         self.cid = table["cid"].to_numpy()
         self.weight = table["weight"].to_numpy()
         self.flt, self.ci, self.cj, self.blk = (table[c].to_numpy() for c in ("flt", "ci", "cj", "blk"))
-        self.flts = [np.asarray(x.values) for x in table["flts"].combine_chunks()] if table.num_rows else []
+        lists = table["flts"].combine_chunks()
+        self.all, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy().astype(np.int64)
+        ends -= ends[0]
+        self.start, self.size = ends[:-1], np.diff(ends)
+        # (row, filter) as one sorted number: lists are sorted, and so are the rows
+        self.names, self.rank = np.unique(self.all, return_inverse=True)
+        self.key = np.repeat(np.arange(len(self.size)), self.size) * len(self.names) + self.rank
         self.unit = units(table["embedding"].combine_chunks())
         self.cosine = cosine
         self.n = np.zeros(table.num_rows, np.int64)
@@ -149,6 +139,25 @@ class _Bucket:
             self.a.append(own[child])
             self.b.append(own[label[child]])
 
+    def first_shared(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether the filter of rows i and j, which are of one cell, is the smallest that both have: the lists of i are looked up
+        among those of j, a few filters at a time, as most pairs share one of the first."""
+        base = len(self.names)
+        at, stop = self.start[i].copy(), np.searchsorted(self.key, i * base + np.searchsorted(self.names, self.flt[i]))
+        out, live, step = np.ones(len(i), bool), np.arange(len(i)), 4
+        while True:
+            live = live[at[live] < stop[live]]
+            if not len(live):
+                return out
+            spots = at[live][:, None] + np.arange(step)
+            inside = spots < stop[live][:, None]
+            asked = (j[live] * base)[:, None] + self.rank[np.minimum(spots, len(self.rank) - 1)]
+            found = self.key[np.minimum(np.searchsorted(self.key, asked), len(self.key) - 1)] == asked
+            hit = (found & inside).any(1)
+            out[live[hit]] = False
+            at[live] += step
+            live, step = live[~hit], min(step * 2, 64)
+
     def small(self, first: np.ndarray, end: np.ndarray) -> None:
         """All cells of at most SMALL members at once, by their distance in the sorted run."""
         size = np.zeros(len(self.cid), np.int64)
@@ -163,15 +172,12 @@ class _Bucket:
                 near &= (self.ci[x] == self.cj[x]) | (self.blk[x] != self.blk[y])
                 x, y = x[near], y[near]
                 if len(x):
-                    self.take(x, y, _first_shared(self.flts, x, y, self.flt[x]))
+                    self.take(x, y, self.first_shared(x, y))
 
     def large(self, f: int, e: int) -> None:
         """One cell, in square pieces; pairs that share a smaller filter are found by a product of incidence matrices."""
         flt, rows = self.flt[f], np.arange(f, e)
-        early = [v[v < flt] for v in self.flts[f:e]]
-        seen, times = np.unique(np.concatenate(early), return_counts=True)
-        seen = seen[times > 1]
-        step = 512
+        early, seen, step = None, np.zeros(0, np.int64), 512
         for s in range(0, len(rows), step):
             for t in range(s, len(rows), step):
                 x, y = rows[s : s + step], rows[t : t + step]
@@ -181,6 +187,10 @@ class _Bucket:
                     near = np.triu(near, 1)
                 if not near.any():
                     continue
+                if early is None:
+                    early = [v[v < flt] for v in (self.all[a : a + n] for a, n in zip(self.start[f:e], self.size[f:e], strict=True))]
+                    seen, times = np.unique(np.concatenate(early), return_counts=True)
+                    seen = seen[times > 1]
                 shared = np.zeros(near.shape, np.float32)
                 for c in range(0, len(seen), 2048):
                     cols = seen[c : c + 2048]
