@@ -93,7 +93,11 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def _anchor_rows(keyed: DataFrame) -> DataFrame:
-    """(core, reach, id, place): place packs tag, a, a - s and a - e."""
+    """(core, reach, id, place, n): place packs tag, a, a - s and a - e; n is 1, or 2 for one row that stands for several.
+
+    Anchors of one core and reach that a few megabytes of text hold more than once are repeated, whatever else there is: their
+    joined spans go on as rows of n 0, the span in reach, and one row of n 2 goes on for all of them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest as h
@@ -110,21 +114,40 @@ def _anchor_rows(keyed: DataFrame) -> DataFrame:
                 reach = np.array(
                     [h(data[x:y], k) for x, y, k in zip(s.tolist(), (e + LENGTH).tolist(), ((back << 8) + fore).tolist(), strict=True)], np.uint64
                 ).view(np.int64)
-                tag = own.column(1).to_numpy().astype(np.int64)[doc]
-                place = (tag << 45) | ((a - first[doc]) << 14) | (back << 7) | fore
+                tag = own.column(1).to_numpy().astype(np.int64)
+                place = (tag[doc] << 45) | ((a - first[doc]) << 14) | (back << 7) | fore
+                by = np.lexsort((reach, core))
+                same = (core[by][1:] == core[by][:-1]) & (reach[by][1:] == reach[by][:-1])
+                lead, follow = np.concatenate(([True], ~same)), np.concatenate((same, [False]))
+                twice = np.zeros(len(a), bool)
+                twice[by[follow | ~lead]] = True
+                one = np.sort(by[lead])
+                # anchors come in order of text and start, so that joined spans are runs
+                spot = np.flatnonzero(twice)
+                new = np.concatenate(([True], (doc[spot][1:] != doc[spot][:-1]) | (s[spot][1:] > e[spot][:-1] + LENGTH)))[: len(spot)]
+                head = np.flatnonzero(new)
+                tail = np.append(head[1:], len(spot))[: len(head)] - 1
+                at = doc[spot][head]
+                span = ((s[spot][head] - first[at]) << 32) + e[spot][tail] + LENGTH - first[at]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(core), pa.array(reach), own.column(0).take(pa.array(doc)), pa.array(place)], names=["core", "reach", "id", "place"]
+                    [
+                        pa.array(np.concatenate((core[one], span * np.int64(-7046029254386353131) + np.arange(len(at))))), pa.array(np.concatenate((reach[one], span))),
+                        own.column(0).take(pa.array(np.concatenate((doc[one], at)))), pa.array(np.concatenate((place[one], tag[at] << 45))),
+                        pa.array(np.concatenate((np.where(twice[one], 2, 1), np.zeros(len(at), np.int64))), pa.int32()),
+                    ],
+                    names=["core", "reach", "id", "place", "n"],
                 )
             release()
 
-    return keyed.mapInArrow(run, "core long, reach long, id long, place long")
+    return keyed.mapInArrow(run, "core long, reach long, id long, place long, n int")
 
 
-FULL, PART, PEER = 1, 2, 4
+FULL, PART, PEER, SPAN = 1, 2, 4, 8
 
 
 def _candidates(rows: DataFrame, hot: np.ndarray) -> DataFrame:
-    """(id, place, kind): FULL runs are repeated throughout; PART runs must be compared, with one PEER of each other reach.
+    """(id, place, kind, span): FULL runs are repeated throughout; PART runs must be compared, with one PEER of each other reach;
+    SPAN rows are spans that are known already.
 
     Rows of one core meet in one task, in order of their reach; those of hot cores, which are known to be repeated and to have
     other reaches, only meet those of the same reach.
@@ -139,8 +162,15 @@ def _candidates(rows: DataFrame, hot: np.ndarray) -> DataFrame:
         while not last:
             batch = next(source, None)
             last = batch is None
-            if not last and not batch.num_rows:
-                continue
+            if not last:
+                known = pc.equal(batch.column(4), 0)
+                spans = batch.filter(known)
+                if spans.num_rows:
+                    kinds = pa.array(np.full(spans.num_rows, SPAN), pa.int32())
+                    yield pa.RecordBatch.from_arrays([spans.column(2), spans.column(3), kinds, spans.column(1)], names=["id", "place", "kind", "span"])
+                    batch = batch.filter(pc.invert(known))
+                if not batch.num_rows:
+                    continue
             parts = [x for x in (wait, batch) if x is not None]
             if not parts:
                 return
@@ -154,7 +184,7 @@ def _candidates(rows: DataFrame, hot: np.ndarray) -> DataFrame:
             led = np.where(start >= 0, same_core[np.maximum(start, 0)], bool(ahead))
             use = n if last else n - 1
             next_core, next_same = np.append(same_core[1:], False), np.append(same[1:], False)
-            full = same | next_same
+            full = same | next_same | (t["n"].to_numpy() > 1)
             known = np.isin(core, hot)
             repeated = same_core | next_core | known
             others = led | (next_core & ~next_same) | known
@@ -163,7 +193,8 @@ def _candidates(rows: DataFrame, hot: np.ndarray) -> DataFrame:
             if len(keep):
                 at = pa.array(keep)
                 yield pa.RecordBatch.from_arrays(
-                    [t["id"].combine_chunks().take(at), t["place"].combine_chunks().take(at), pa.array(kind[keep], pa.int32())], names=["id", "place", "kind"]
+                    [t["id"].combine_chunks().take(at), t["place"].combine_chunks().take(at), pa.array(kind[keep], pa.int32()), pa.array(np.zeros(len(keep), np.int64))],
+                    names=["id", "place", "kind", "span"],
                 )
             if not last:
                 prior = (core[n - 2], reach[n - 2]) if n > 1 else prior
@@ -173,7 +204,7 @@ def _candidates(rows: DataFrame, hot: np.ndarray) -> DataFrame:
     listed = F.array(*(F.lit(int(c)) for c in hot)).cast("array<bigint>")
     deal = F.when(F.array_contains(listed, F.col("core")), F.col("reach")).otherwise(F.col("core")) if len(hot) else F.col("core")
     dealt = rows.withColumn("deal", deal).repartition("deal").sortWithinPartitions("core", "reach").drop("deal")
-    return dealt.mapInArrow(run, "id long, place long, kind int")
+    return dealt.mapInArrow(run, "id long, place long, kind int, span long")
 
 
 def _tokens(rows: np.ndarray) -> np.ndarray:
@@ -383,7 +414,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     full = found.where(f"(kind & {FULL}) > 0").selectExpr(
         "id", "tag", f"({a} - ((place >> 7) & 127)) * 4294967296 + {a} - (place & 127) + {LENGTH} AS span"
     )
-    return full.unionByName(part).groupBy("id", "tag").agg(F.collect_set("span").alias("spans"))
+    spans = found.where(f"(kind & {SPAN}) > 0").select("id", "tag", "span")
+    return full.unionByName(part).unionByName(spans).groupBy("id", "tag").agg(F.collect_set("span").alias("spans"))
 
 
 def merged(spans: np.ndarray | None) -> list[tuple[int, int]]:
