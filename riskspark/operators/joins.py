@@ -55,12 +55,13 @@ def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 def as_of(
     sample: DataFrame, history: DataFrame, key: tuple[str, str], time: tuple[str, str], values: list[str], days: int | None = None,
-    tie: Iterable[str] = (), strict: bool = False, prefix: str = "", unit: str = "days",
+    tie: Iterable[str] = (), strict: bool = False, prefix: str = "", unit: str = "days", stretch: str = "month",
 ) -> DataFrame:
     """sample with the values, and time, of the latest history row of its key not after its own time (strict: before it).
 
-    days (or months, by unit) bounds how old that row may be. Both sides are laid out by key and time once and the last history row is
-    carried forward, so a key with many rows costs its rows and not their pairs. Ties in time go to the largest `tie`.
+    days (or months, by unit) bounds how old that row may be. Both sides are laid out by key and time and the last history row is
+    carried forward, so a key with many rows costs its rows and not their pairs. A task holds one stretch of time of a key, and the
+    last row of the stretches before it is handed in, so a key with a third of all rows is spread. Ties in time go to the largest `tie`.
     """
     left_key, right_key = key
     left_time, right_time = time
@@ -73,8 +74,14 @@ def as_of(
         F.struct(*map(F.col, tie), F.lit(0)).alias("tie"),
     )
     both = a.unionByName(b, allowMissingColumns=True)
-    w = Window.partitionBy("k").orderBy("t", "side", F.asc_nulls_first("tie")).rowsBetween(Window.unboundedPreceding, 0)
-    x = both.withColumn("last", F.last("seen", ignorenulls=True).over(w)).where("row IS NOT NULL")
+    both = both.withColumn("stretch", F.date_trunc(stretch, "t"))
+    newest = F.max_by("seen", F.when(F.col("seen").isNotNull(), F.struct("t", "tie")))
+    before = Window.partitionBy("hk").orderBy("hs").rowsBetween(Window.unboundedPreceding, -1)
+    heads = both.groupBy(F.col("k").alias("hk"), F.col("stretch").alias("hs")).agg(newest.alias("newest"))
+    heads = heads.select("hk", "hs", F.last("newest", ignorenulls=True).over(before).alias("handed"))
+    both = both.join(heads, (F.col("k") == F.col("hk")) & (F.col("stretch") == F.col("hs")), "left")
+    w = Window.partitionBy("k", "stretch").orderBy("t", "side", F.asc_nulls_first("tie")).rowsBetween(Window.unboundedPreceding, 0)
+    x = both.withColumn("last", F.coalesce(F.last("seen", ignorenulls=True).over(w), "handed")).where("row IS NOT NULL")
     ok = F.col("k").isNotNull() & F.col("t").isNotNull() & F.col("last").isNotNull()
     if days is not None:
         ok &= distance(F.col("t"), F.col("last.t"), unit) <= days
