@@ -191,10 +191,15 @@ def woe_quantile(spark, sf_dir):
     return rounded(woe.quantile_table(sample(spark, sf_dir), FEATURES, "bad", 5))
 
 
-_iv = " UNION ALL ".join(
-    f"""SELECT '{f}' AS feature, count(*) FILTER (bad = 0) AS good, count(*) FILTER (bad = 1) AS bad FROM sample, (SELECT {edges_sql(f, f"{f} > -99999", 10)} AS e)
+def iv_sql(source: str = "sample") -> str:
+    """feature, good, bad of ten quantile bins and of missing values."""
+    return " UNION ALL ".join(
+        f"""SELECT '{f}' AS feature, count(*) FILTER (bad = 0) AS good, count(*) FILTER (bad = 1) AS bad FROM {source}, (SELECT {edges_sql(f, f"{f} > -99999", 10, source)} AS e)
   GROUP BY CASE WHEN {f} > -99999 THEN {bin_sql(f, 'e')} ELSE -1 END""" for f in FEATURES
-)
+    )
+
+
+_iv = iv_sql()
 
 
 @query("iv_all_features", f"""WITH {SAMPLE_SQL}, n AS ({_iv}), t AS (SELECT count(*) FILTER (bad = 0) AS tg, count(*) FILTER (bad = 1) AS tb FROM sample)
@@ -280,16 +285,22 @@ def feature_filter(spark, sf_dir):
     return rounded(quality.feature_filter(stats, 0.05, 0, 1))
 
 
-@query("variable_overview")
+@query("variable_overview", f"""WITH {SAMPLE_SQL}, train AS (SELECT * FROM sample WHERE data_flag = 'train'), u AS ({unpivoted(FEATURES, 'train')}), p AS ({_var_psi}), n AS ({iv_sql('train')}),
+t AS (SELECT count(*) FILTER (bad = 0) AS tg, count(*) FILTER (bad = 1) AS tb FROM train),
+i AS (SELECT feature, sum((bad / tb - good / tg) * ln(greatest(bad / tb, 1e-10) / greatest(good / tg, 1e-10))) AS iv FROM n, t GROUP BY 1),
+x AS (SELECT feature, value, count(*) FILTER (bad = 0) AS g, count(*) FILTER (bad = 1) AS b FROM u WHERE NOT {_GONE} GROUP BY 1, 2),
+c AS (SELECT *, sum(g) OVER w AS cg, sum(b) OVER w AS cb, sum(g) OVER (PARTITION BY feature) AS tg, sum(b) OVER (PARTITION BY feature) AS tb FROM x WINDOW w AS (PARTITION BY feature ORDER BY value)),
+k AS (SELECT feature, max(abs(cb / tb - cg / tg)) AS ks FROM c GROUP BY 1), m AS (SELECT feature, avg({_GONE}::INT) AS missing_rate FROM u GROUP BY 1)
+SELECT feature, round(missing_rate, 6) AS missing_rate, round(iv, 6) AS iv, round(ks, 6) AS ks, psi FROM m JOIN i USING (feature) JOIN k USING (feature) JOIN p USING (feature)""")
 def variable_overview(spark, sf_dir):
-    """feature, missing_rate, iv, ks, psi, ordered by iv: joined from the operators that the other queries hold against SQL."""
+    """feature, missing_rate, iv, ks, psi, ordered by iv."""
     x = sample(spark, sf_dir)
     train = x.where("data_flag = 'train'")
     psi = stability.variable_psi(x, FEATURES, F.col("data_flag") == "train", F.col("data_flag") == "oot")
     out = quality.missing_summary(train, FEATURES).select("feature", "missing_rate")
     for part in (woe.information_value(train, FEATURES, "bad"), woe.two_sample_ks(train, FEATURES, "bad").select("feature", "ks"), psi):
         out = out.join(part, "feature")
-    return out.orderBy(F.desc("iv"), "feature")
+    return rounded(out).orderBy(F.desc("iv"), "feature")
 
 
 @query("monthly_coverage", f"""WITH {SAMPLE_SQL}, u AS ({unpivoted(FEATURES, keep='month')})
@@ -354,28 +365,31 @@ def risk_classes(spark, sf_dir):
     return performance.risk_classes(sample(spark, sf_dir), "score", "bad")
 
 
-def _set_psi(base: str) -> str:
-    return f"""(SELECT data_flag, greatest(sum({psi_parts('x', 'y')}), 0) AS psi FROM (SELECT f.data_flag, coalesce(b.c, 0) / (SELECT count(*) FROM sample WHERE {base}) AS x, coalesce(a.c, 0) / f.c AS y
-  FROM (SELECT data_flag, count(*) AS c FROM sample GROUP BY 1) f CROSS JOIN range(10) r(i)
-  LEFT JOIN (SELECT data_flag, {bin_sql('score', 'e')} AS bin, count(*) AS c FROM sample, (SELECT {edges_sql('score', base, 10)} AS e) GROUP BY 1, 2) a ON a.data_flag = f.data_flag AND a.bin = i
+def _set_psi(base: str, group: str = "data_flag") -> str:
+    return f"""(SELECT {group}, greatest(sum({psi_parts('x', 'y')}), 0) AS psi FROM (SELECT f.{group}, coalesce(b.c, 0) / (SELECT count(*) FROM sample WHERE {base}) AS x, coalesce(a.c, 0) / f.c AS y
+  FROM (SELECT {group}, count(*) AS c FROM sample GROUP BY 1) f CROSS JOIN range(10) r(i)
+  LEFT JOIN (SELECT {group}, {bin_sql('score', 'e')} AS bin, count(*) AS c FROM sample, (SELECT {edges_sql('score', base, 10)} AS e) GROUP BY 1, 2) a ON a.{group} = f.{group} AND a.bin = i
   LEFT JOIN (SELECT {bin_sql('score', 'e')} AS bin, count(*) AS c FROM sample, (SELECT {edges_sql('score', base, 10)} AS e) WHERE {base} GROUP BY 1) b ON b.bin = i) GROUP BY 1)"""
 
 
 @query("sample_effect", f"""WITH {SAMPLE_SQL}, {auc_ks_sql('data_flag')}, l AS ({lift_sql('data_flag', 'sample')}), n AS (SELECT data_flag, count(*) AS n, CAST(sum(bad) AS BIGINT) AS bad FROM sample GROUP BY 1)
-SELECT n.data_flag, n.n, n.bad, round(n.bad / n.n, 4) AS bad_rate, round(auc, 4) AS auc, round(ks, 4) AS ks, round(lift_10, 4) AS lift_10, round(lift_5, 4) AS lift_5, round(lift_2, 4) AS lift_2, round(lift_1, 4) AS lift_1,
-  round(p.psi, 4) AS psi_train, round(o.psi, 4) AS psi_oot FROM n LEFT JOIN curve ON g = n.data_flag LEFT JOIN l ON l.month = n.data_flag
+SELECT n.data_flag, n.n, n.bad, round(n.bad / n.n, 4) AS bad_rate, round(auc, 6) AS auc, round(ks, 6) AS ks, lift_10, lift_5, lift_2, lift_1,
+  round(p.psi, 6) AS psi_train, round(o.psi, 6) AS psi_oot FROM n LEFT JOIN curve ON g = n.data_flag LEFT JOIN l ON l.month = n.data_flag
   LEFT JOIN {_set_psi("data_flag = 'train'")} p ON p.data_flag = n.data_flag LEFT JOIN {_set_psi("data_flag = 'oot'")} o ON o.data_flag = n.data_flag""")
 def sample_effect(spark, sf_dir):
     x = sample(spark, sf_dir)
-    return rounded(performance.set_effects(x, "data_flag", "score", "bad", F.col("data_flag") == "train", F.col("data_flag") == "oot"), 4)
+    return rounded(performance.set_effects(x, "data_flag", "score", "bad", F.col("data_flag") == "train", F.col("data_flag") == "oot"), 6)
 
 
-@query("backtest_effect")
+@query("backtest_effect", f"""WITH {SAMPLE_SQL}, {auc_ks_sql('month')}, l AS ({lift_sql('month', 'sample')}), n AS (SELECT month, count(*) AS n, CAST(sum(bad) AS BIGINT) AS bad FROM sample GROUP BY 1)
+SELECT n.month, n.n, n.bad, round(n.bad / n.n, 4) AS bad_rate, round(auc, 6) AS auc, round(ks, 6) AS ks, lift_10, lift_5, lift_2, lift_1,
+  round(p.psi, 6) AS psi_train, round(o.psi, 6) AS psi_oot FROM n LEFT JOIN curve ON g = n.month LEFT JOIN l ON l.month = n.month
+  LEFT JOIN {_set_psi("month = (SELECT min(month) FROM sample)", "month")} p ON p.month = n.month LEFT JOIN {_set_psi("month = (SELECT max(month) FROM sample)", "month")} o ON o.month = n.month""")
 def backtest_effect(spark, sf_dir):
     """By month: counts, rates, AUC, KS, lift, and PSI against the first and the last month."""
     x = sample(spark, sf_dir)
     r = x.agg(F.min("month").alias("a"), F.max("month").alias("b")).first()
-    return performance.set_effects(x, "month", "score", "bad", F.col("month") == (r.a or 0), F.col("month") == (r.b or 0))
+    return rounded(performance.set_effects(x, "month", "score", "bad", F.col("month") == (r.a or 0), F.col("month") == (r.b or 0)), 6)
 
 
 @query("date_range", f"WITH {SAMPLE_SQL} SELECT data_flag, min(month) || '-' || max(month) AS range FROM sample GROUP BY 1")
