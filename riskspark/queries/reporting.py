@@ -359,9 +359,15 @@ def risk_division(spark, sf_dir):
     return performance.risk_division(_segmented(spark, sf_dir))
 
 
-@query("risk_classes")
+@query("risk_classes", f"""WITH RECURSIVE {SAMPLE_SQL}, q AS (SELECT {edges_sql('score', 'TRUE', 100)} AS e), p AS (SELECT {bin_sql('score', 'e')} AS bin, score, bad FROM sample, q),
+b AS (SELECT bin, count(*) AS n, row_number() OVER (ORDER BY bin) AS i FROM p GROUP BY 1), whole AS (SELECT CAST(sum(n) AS BIGINT) AS n FROM b),
+raw AS (SELECT n, list_transform([0.3::DOUBLE, 0.2, 0.4, 0.08, 0.02], lambda s: CAST(round_even(s * n, 0) AS BIGINT)) AS sizes FROM whole),
+sized AS (SELECT list_transform(sizes, lambda s, k: s + CASE WHEN n - list_sum(sizes) >= 6 - k THEN 1 WHEN list_sum(sizes) - n >= 6 - k THEN -1 ELSE 0 END) AS sizes FROM raw),
+walk AS (SELECT CAST(0 AS BIGINT) AS i, 5 AS level, CAST(0 AS BIGINT) AS held UNION ALL
+  SELECT b.i, CASE WHEN level > 1 AND held >= sizes[level] THEN level - 1 ELSE level END, CASE WHEN level > 1 AND held >= sizes[level] THEN 0 ELSE held END + b.n FROM walk JOIN b ON b.i = walk.i + 1, sized),
+c AS (SELECT ['A', 'B', 'C', 'D', 'E'][level] AS class, score, bad FROM p JOIN b USING (bin) JOIN walk USING (i))
+SELECT class, min(score) AS low, max(score) AS high, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 3) AS share, CAST(sum(bad) AS BIGINT) AS bad, round(avg(bad), 4) AS bad_rate FROM c GROUP BY class""")
 def risk_classes(spark, sf_dir):
-    """Classes are filled greedily; tests hold them against a plain version."""
     return performance.risk_classes(sample(spark, sf_dir), "score", "bad")
 
 
