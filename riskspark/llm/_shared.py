@@ -147,8 +147,10 @@ def ragged_take(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray, ord
     total = int(n.sum())
     if not total:
         return values[:0]
-    ends = np.cumsum(n)
-    at = np.repeat(starts[order] - (ends - n), n) + np.arange(total)
+    # 32-bit places, where they do, halve the largest arrays of an encoder
+    kind = np.int32 if max(total, len(values)) < 2**31 else np.int64
+    at = np.arange(total, dtype=kind)
+    at += np.repeat((starts[order] - (np.cumsum(n) - n)).astype(kind), n)
     return values[at]
 
 

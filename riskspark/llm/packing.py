@@ -100,7 +100,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, t
                     [part.column(0).take(pa.array(doc)), pa.array(nth, pa.int32()), pa.array(start), pa.array(length), pa.array(sums, pa.int64())],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
-            release()
+                release()
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, PIECE)
 

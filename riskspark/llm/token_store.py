@@ -153,7 +153,7 @@ def write(docs: DataFrame, scratch_path: str, path: str | None = None, text: str
                     names=["part", "nth", "n_docs", "n_ids", "payload"],
                 )
                 nth += 1
-            release()
+                release()
 
     rows.mapInArrow(run, SEGMENT).write.option("compression", "none").parquet(scratch_path)
 
