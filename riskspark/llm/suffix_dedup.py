@@ -201,8 +201,7 @@ def _candidates(rows: DataFrame, hot: np.ndarray) -> DataFrame:
                 ahead = bool(led[n - 1])
                 wait = t.slice(n - 1).combine_chunks().to_batches()[0]
 
-    listed = F.array(*(F.lit(int(c)) for c in hot)).cast("array<bigint>")
-    deal = F.when(F.array_contains(listed, F.col("core")), F.col("reach")).otherwise(F.col("core")) if len(hot) else F.col("core")
+    deal = F.when(F.col("core").isin(hot.tolist()), F.col("reach")).otherwise(F.col("core")) if len(hot) else F.col("core")
     dealt = rows.withColumn("deal", deal).repartition("deal").sortWithinPartitions("core", "reach").drop("deal")
     return dealt.mapInArrow(run, "id long, place long, kind int, span long")
 
