@@ -208,7 +208,9 @@ def keep_first(docs: DataFrame) -> DataFrame:
 
     A component without any id keeps its rows, one of each text.
     """
-    first = near_groups(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("_first")).distinct()
-    rows = docs.select(packed(docs), F.col("doc_id").alias("_own"))
-    kept = rows.join(first, F.col("_own").eqNullSafe(F.col("_first")), "left_semi")
-    return kept.select(*unpacked(docs.columns)).dropDuplicates(["doc_id", "text"])
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))  # one plain key, also where ids are null
+    first = near_groups(docs).where("doc_id <=> component_id").select(own.alias("_own")).distinct()
+    # texts are told apart by their digest, so that the rows stay where the join has put them
+    rows = docs.select(packed(docs), own.alias("_own"), F.md5("text").alias("_digest"))
+    kept = rows.join(first, "_own", "left_semi").dropDuplicates(["_own", "_digest"])
+    return kept.select(*unpacked(docs.columns))
