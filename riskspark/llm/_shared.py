@@ -32,7 +32,7 @@ def shared_folder(spark: SparkSession) -> str:
 BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def bounded_batches(spark: SparkSession, limit: int = 16 << 20) -> None:
+def bounded_batches(spark: SparkSession, limit: int = 4 << 20) -> None:
     """From now on Arrow batches hold at most so many bytes, however long the texts are; a smaller setting stays."""
     now = str(spark.conf.get(BATCH, "64m")).rstrip("b")
     if not now.isdigit() or not 0 < int(now) <= limit:
@@ -171,6 +171,23 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     return label
 
 
+def gathered(batches, column: int, limit: int):
+    """Arrow batches joined until their column has about limit bytes: the executor's buffers stay small, the worker's runs long."""
+    import pyarrow as pa
+
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.column(column).nbytes
+        if size >= limit:
+            joined = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+            yield joined
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def slices(column, limit: int):
     """(first, end) of runs of rows whose texts have about limit bytes, from an Arrow string or binary array."""
     import pyarrow.compute as pc

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import Scratch, bounded_batches, release, slices
+from ._shared import Scratch, bounded_batches, gathered, release, slices
 from .tokens import crc, encoder, vocabulary, with_ends
 
 CAPACITY = 1024
@@ -83,8 +83,8 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for batch in batches:
-            for f, e in slices(batch.column(1), 16 << 20):
+        for batch in gathered(batches, 1, 8 << 20):
+            for f, e in slices(batch.column(1), 10 << 20):
                 part = batch.slice(f, e - f)
                 ids, first = with_ends(*enc.encode(part.column(1)))
                 n = np.diff(first)

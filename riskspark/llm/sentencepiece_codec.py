@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import bounded_batches, ragged_take, release, slices
+from ._shared import bounded_batches, gathered, ragged_take, release, slices
 from .tokens import crc, vocabulary
 
 SPACE = "▁"
@@ -246,8 +246,8 @@ def digest(docs: DataFrame) -> DataFrame:
     path = vocabulary("piece_bpe_32k.model")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for f, e in slices(batch.column(1), 8 << 20):
+        for batch in gathered(batches, 1, 8 << 20):
+            for f, e in slices(batch.column(1), 10 << 20):
                 own = batch.slice(f, e - f)
                 c = codec(path)
                 ids, first = c.encode(own.column(1))

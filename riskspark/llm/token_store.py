@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import Scratch, release, slices
+from ._shared import Scratch, gathered, release, slices
 from .tokens import crc, encoder, vocabulary, with_ends
 
 MAGIC = b"RSDAC1\0\0"
@@ -144,8 +144,8 @@ def write(docs: DataFrame, scratch_path: str, path: str | None = None, text: str
         from pyspark import TaskContext
 
         enc, part, nth = encoder(path), TaskContext.get().partitionId(), 0
-        for batch in batches:
-            for f, e in slices(batch.column(1), 16 << 20):
+        for batch in gathered(batches, 1, 14 << 20):
+            for f, e in slices(batch.column(1), 18 << 20):
                 own = batch.slice(f, e - f)
                 ids, first = with_ends(*enc.encode(own.column(1)))
                 yield pa.RecordBatch.from_arrays(
