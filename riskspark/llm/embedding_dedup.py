@@ -6,7 +6,9 @@ the vector exceeds the cap's height: sums of two parts are formed, and only thos
 expanded. The height is set for each vector, a margin below its best inner product: at one height for all, a product
 code lists hundreds of filters for some vectors and none for half of the others. TABLES rotations are listed side by side. Vectors that share a filter meet in its bucket, where their cosines are computed in double precision; a pair
 counts in the smallest filter that both share, so it counts once. Equal vectors are one class with a weight.
-Buckets above CELL members are split into blocks, and each pair of blocks is a task of its own.
+Buckets above CELL members are hot. Each names a leader, and members within half the angle of a leader form its ball: any
+two of a ball are linked, by the triangle inequality, so a ball's links are its size and are not compared. What is
+left of a hot bucket is split into blocks, by ball first, and each pair of blocks that is not within one ball is a cell of its own.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._shared import Scratch, components, forest
@@ -124,6 +126,7 @@ class _Bucket:
         # (row, filter) as one sorted number: lists are sorted, and so are the rows
         self.names, self.rank = np.unique(self.all, return_inverse=True)
         self.key = np.repeat(np.arange(len(self.size)), self.size) * len(self.names) + self.rank
+        self.ball = table["ball"].to_numpy()
         self.unit = units(table["embedding"].combine_chunks())
         self.cosine = cosine
         self.n = np.zeros(table.num_rows, np.int64)
@@ -170,6 +173,7 @@ class _Bucket:
                 y = x + gap
                 near = np.einsum("nk,nk->n", self.unit[x], self.unit[y]) >= self.cosine
                 near &= (self.ci[x] == self.cj[x]) | (self.blk[x] != self.blk[y])
+                near &= (self.ball[x] < 0) | (self.ball[x] != self.ball[y])
                 x, y = x[near], y[near]
                 if len(x):
                     self.take(x, y, self.first_shared(x, y))
@@ -183,6 +187,7 @@ class _Bucket:
                 x, y = rows[s : s + step], rows[t : t + step]
                 near = self.unit[x] @ self.unit[y].T >= self.cosine
                 near &= (self.ci[f] == self.cj[f]) | (self.blk[x][:, None] != self.blk[y][None, :])
+                near &= (self.ball[x] < 0)[:, None] | (self.ball[x][:, None] != self.ball[y][None, :])
                 if s == t:
                     near = np.triu(near, 1)
                 if not near.any():
@@ -269,6 +274,36 @@ def verified(members: DataFrame, cosine: float) -> DataFrame:
     return cells.mapInArrow(work, "cid long, other long, n long")
 
 
+def _cosine(a: str, b: str):
+    """The cosine of two array columns, in double precision."""
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda u, v: u.cast("double") * v.cast("double")), F.lit(0.0), lambda s, v: s + v)
+    x, y = F.col(a), F.col(b)
+    return dot(x, y) / F.sqrt(dot(x, x)) / F.sqrt(dot(y, y))
+
+
+def _hot_cells(flat: DataFrame, hot: DataFrame, classes: DataFrame, cosine: float, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(cells, balls) of hot filters: (cid, flt, blk, ci, cj), and (cid, ball) of the members of balls."""
+    members = flat.join(hot.select("flt"), "flt")
+    leaders = members.groupBy("flt").agg(F.min("cid").alias("leader"))
+    asked = members.join(leaders, "flt").select("cid", "leader").distinct()
+    vectors = classes.select("cid", "embedding")
+    led = vectors.select(F.col("cid").alias("leader"), F.col("embedding").alias("lead"))
+    half = math.cos(math.acos(cosine) / 2) + 1e-9
+    close = asked.join(vectors, "cid").join(led, "leader").where(_cosine("embedding", "lead") >= half)
+    balls = scratch.table(close.groupBy("cid").agg(F.min("leader").alias("ball")))
+    held = members.join(balls, "cid", "left").select("cid", "flt", F.coalesce("ball", F.lit(-1)).alias("ball"))
+    parts = held.groupBy("flt", "ball").agg(F.ceil(F.count("*") / CELL).cast("int").alias("parts"))
+    blocks = parts.select("flt", "ball", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"))
+    blocks = blocks.withColumn("blk", F.row_number().over(Window.partitionBy("flt").orderBy("ball", "part")))
+    a = blocks.select("flt", F.col("ball").alias("ball_a"), F.col("blk").alias("a"))
+    b = blocks.select("flt", F.col("ball").alias("ball_b"), F.col("blk").alias("b"))
+    pairs = a.join(b, "flt").where("a <= b AND (ball_a <> ball_b OR ball_a < 0)")
+    sides = pairs.select("flt", F.col("a").alias("blk"), F.col("a").alias("ci"), F.col("b").alias("cj"))
+    sides = sides.unionByName(pairs.where("a < b").select("flt", F.col("b").alias("blk"), F.col("a").alias("ci"), F.col("b").alias("cj")))
+    placed = held.join(parts, ["flt", "ball"]).withColumn("part", F.expr("CAST(pmod(xxhash64(cid), parts) AS INT)")).drop("parts")
+    return placed.join(blocks, ["flt", "ball", "part"]).join(sides, ["flt", "blk"]).select("cid", "flt", "blk", "ci", "cj"), balls
+
+
 def near_vectors(table: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", cosine: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row.
 
@@ -286,14 +321,25 @@ def near_vectors(table: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
     listed = scratch.table(entries(classes))
     flat = listed.select("cid", F.explode("flts").alias("flt"))
     met = flat.groupBy("flt").agg(F.count("*").alias("m")).where("m > 1")
-    kept = flat.join(met, "flt").withColumn("parts", F.expr(f"CAST(ceil(m / {CELL}) AS INT)"))
-    kept = kept.withColumn("blk", F.expr("CAST(pmod(xxhash64(cid), parts) AS INT)"))
-    kept = kept.select("cid", "flt", "blk", F.explode(F.expr("sequence(0, parts - 1)")).alias("x"))
-    kept = kept.select("cid", "flt", "blk", F.least("blk", "x").alias("ci"), F.greatest("blk", "x").alias("cj"))
-    members = kept.join(listed, "cid").join(classes.select("cid", "weight", "embedding"), "cid")
-    found = scratch.table(verified(members.select("cid", "flt", "ci", "cj", "blk", "weight", "flts", "embedding"), cosine))
-    counts = found.where("cid = other").groupBy("cid").agg(F.sum("n").alias("n"))
+    hot = scratch.table(met.where(f"m > {CELL}"))
+    zero = F.lit(0)
+    cells = flat.join(met.where(f"m <= {CELL}"), "flt").select("cid", "flt", zero.alias("blk"), zero.alias("ci"), zero.alias("cj"))
+    members = listed.join(classes.select("cid", "weight", "embedding"), "cid").withColumn("ball", F.lit(-1).cast("long"))
+    balls = None
+    if not hot.isEmpty():
+        split, balls = _hot_cells(flat, hot, classes, cosine, scratch)
+        cells = cells.unionByName(split)
+        members = members.drop("ball").join(balls, "cid", "left").withColumn("ball", F.coalesce("ball", F.lit(-1)))
+    members = cells.join(members, "cid").select("cid", "flt", "ci", "cj", "blk", "ball", "weight", "flts", "embedding")
+    found = scratch.table(verified(members, cosine))
+    counts = found.where("cid = other").select("cid", "n")
     edges = found.where("cid <> other").select(F.col("cid").alias("a"), F.col("other").alias("b"))
+    if balls is not None:
+        own = balls.join(classes.select("cid", "weight"), "cid")
+        sizes = own.groupBy("ball").agg(F.sum("weight").alias("size"))
+        counts = counts.unionByName(own.join(sizes, "ball").select("cid", (F.col("size") - F.col("weight")).alias("n")))
+        edges = edges.unionByName(balls.select(F.col("cid").alias("a"), F.col("ball").alias("b")))
+    counts = counts.groupBy("cid").agg(F.sum("n").alias("n"))
     comps = components(edges, scratch)
     named = classes.join(comps.withColumnRenamed("id", "cid"), "cid", "left").join(counts, "cid", "left")
     named = named.withColumn("component", F.coalesce("component", "cid"))

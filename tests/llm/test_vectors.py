@@ -60,11 +60,12 @@ def test_odd_vectors(spark):
     check(spark, rows)
 
 
-def test_a_dense_group_in_split_buckets(spark, monkeypatch):
+@pytest.mark.parametrize("spread", [0.05, 0.1, 0.2])
+def test_a_dense_group_in_split_buckets(spark, monkeypatch, spread):
     draw = np.random.default_rng(2)
     monkeypatch.setattr(embedding_dedup, "CELL", 40)
-    vectors = cloud(draw, 32, 1, 260, 0.1) + cloud(draw, 32, 40, 1, 0)
-    check(spark, list(enumerate(vectors)))
+    vectors = cloud(draw, 32, 1, 260, spread) + cloud(draw, 32, 2, 60, spread) + cloud(draw, 32, 40, 1, 0)
+    check(spark, list(enumerate(vectors + vectors[:5])))
 
 
 def test_recall_of_filters():
