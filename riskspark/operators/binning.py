@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import missing
-from .running import quantiles
+from .running import quantiles, rank_sql
 
 INF = float("inf")
 
@@ -21,12 +21,12 @@ def _array(edges: list[float]) -> str:
 
 def right_closed(column: str, interior: list[float]) -> Column:
     """The bin 0, 1, ... of (a, b] bins: the number of interior edges below the value; null for null."""
-    return F.expr(f"CASE WHEN `{column}` IS NOT NULL THEN size(filter({_array(interior)}, e -> `{column}` > e)) END")
+    return F.expr(f"CASE WHEN `{column}` IS NOT NULL THEN {rank_sql(f'`{column}`', sorted(interior))} END")
 
 
 def left_closed(column: str, interior: list[float]) -> Column:
     """The bin of [a, b) bins: the number of interior edges not above the value; null for null."""
-    return F.expr(f"CASE WHEN `{column}` IS NOT NULL THEN size(filter({_array(interior)}, e -> `{column}` >= e)) END")
+    return F.expr(f"CASE WHEN `{column}` IS NOT NULL THEN {rank_sql(f'`{column}`', sorted(interior), '>=')} END")
 
 
 def long(df: DataFrame, features: list[str], keep: list[str]) -> DataFrame:

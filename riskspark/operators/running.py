@@ -13,14 +13,25 @@ from pyspark.sql import functions as F
 BUCKETS = 32
 
 
+def rank_sql(column: str, cuts: list[float], test: str = ">") -> str:
+    """SQL: how many of the sorted cuts hold `column test cut`, as a binary search of comparisons that compile to plain code."""
+
+    def search(low: int, high: int) -> str:
+        if low == high:
+            return str(low)
+        mid = (low + high) // 2
+        return f"CASE WHEN {column} {test} CAST('{cuts[mid]!r}' AS DOUBLE) THEN {search(mid + 1, high)} ELSE {search(low, mid)} END"
+
+    return search(0, len(cuts))
+
+
 def _bucket(df: DataFrame, order: str, buckets: int) -> Column:
     shares = [k / buckets for k in range(1, buckets)]
     got = df.agg(F.percentile_approx(order, F.array(*map(F.lit, shares)), F.lit(1000)).alias("q")).first().q if buckets > 1 else None
     cuts = sorted(set(got or []))
     if not cuts:
         return F.lit(0)
-    literal = "array(" + ", ".join(f"CAST('{c!r}' AS DOUBLE)" for c in cuts) + ")"
-    return F.expr(f"size(filter({literal}, c -> `{order}` > c))")
+    return F.expr(f"CASE WHEN `{order}` IS NOT NULL THEN {rank_sql(f'`{order}`', [float(c) for c in cuts])} END")
 
 
 def running(
