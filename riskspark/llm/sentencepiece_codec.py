@@ -1,10 +1,11 @@
 """SentencePiece encoding and decoding by a batched Viterbi search in numpy.
 
-A text is a space followed by its bytes; a word is a space and what follows up to the next one, and no piece that
-can win crosses the start of a word. Distinct words of one length advance together: at each place, the hash of every substring that
-ends there is looked up among the sorted piece keys, and the best of score and predecessor is kept as back pointer. The
-result is the segmentation with the largest sum of piece scores, the longest last piece winning ties; bytes that no
-piece covers are spelled with byte pieces. Words beyond LONG bytes are searched one by one, in linear time.
+A text is a space followed by its bytes; a word is a run of spaces and what follows up to the next one, and no piece
+crosses the start of a word; where a model has pieces with a space after other characters, a text is one word. Distinct words of
+one length advance together: at each place, the hash of every substring that ends there is looked up among the sorted piece
+keys, and the best of score and predecessor is kept as back pointer. The result is the segmentation with the largest sum of
+piece scores, the longest last piece winning ties; bytes that no piece covers are spelled with byte pieces. Words beyond LONG
+bytes are searched one by one, in linear time.
 """
 
 from __future__ import annotations
@@ -22,8 +23,9 @@ from .tokens import crc, vocabulary
 
 SPACE = "▁"
 LONG = 64
-#: Score of a byte piece: below any sum of pieces of a word of LONG bytes.
-BYTE_SCORE = -1e8
+#: Score of a byte piece: below that of any piece, of which the public model's spaces have the least, -1e9; sums of whole scores
+#: stay exact up to four million byte pieces.
+BYTE_SCORE = -2e9
 REMEMBERED = 300_000
 #: Two odd bases: a substring is a piece if the hashes of both agree.
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -57,9 +59,11 @@ class Codec:
             special = model.is_control(i) or model.is_unknown(i) or model.is_unused(i)
             own = b"" if special else piece.replace(SPACE, " ").encode()
             self.piece_bytes.append(own)
-            # pieces with a space further in never win: their words' own pieces score higher
-            if own and b" " not in own[1:]:
+            if own:
                 plain.append((own, i, model.get_score(i)))
+        if min(s for _, _, s in plain) <= BYTE_SCORE:
+            raise ValueError(f"pieces of {path} score no more than a byte piece")
+        self.parted = not any(b" " in b.lstrip(b" ") for b, _, _ in plain)
         self.start = np.concatenate(([0], np.cumsum([len(b) for b in self.piece_bytes])))
         self.flat = np.frombuffer(b"".join(self.piece_bytes), np.uint8)
         self.tables = {}
@@ -169,7 +173,12 @@ class Codec:
         if at[-1] == at[0]:
             return np.zeros(0, np.uint32), np.zeros(n + 1, np.int64)
         data = x.buffers()[2]
-        cuts = np.flatnonzero(np.frombuffer(data, np.uint8)[at[0] : at[-1]] == 32) + at[0]
+        space = np.frombuffer(data, np.uint8)[at[0] : at[-1]] == 32
+        begins = np.zeros(len(space), bool)
+        if self.parted:
+            begins[1:] = space[1:] & ~space[:-1]
+        begins[at[:-1][at[1:] > at[:-1]] - at[0]] = True
+        cuts = np.flatnonzero(begins) + at[0]
         offsets = np.append(cuts, at[-1]).astype(np.int64)
         pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts), [None, pa.py_buffer(offsets), data]).dictionary_encode()
         words = pieces.dictionary.to_pylist()

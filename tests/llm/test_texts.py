@@ -106,6 +106,34 @@ def test_sentencepiece_round_trip_and_optimum(docs, plain):
             assert got == pytest.approx(best(b" " + w.replace("▁", " ").encode()), rel=1e-9)
 
 
+def test_sentencepiece_spaces_and_bytes():
+    c = sentencepiece_codec.codec()
+    import sentencepiece
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=tokens.vocabulary("piece_bpe_32k.model"))
+    scores = {c.piece_bytes[i]: lib.get_score(i) for i in range(lib.get_piece_size()) if not (lib.is_byte(i) or lib.is_control(i) or lib.is_unknown(i))}
+
+    def best(raw):
+        """(byte pieces, minus the sum of model scores) of whole texts, without a score for bytes."""
+        top = [(0, 0.0)]
+        for e in range(1, len(raw) + 1):
+            ways = [(top[e - 1][0] + 1, top[e - 1][1])]
+            ways += [(top[f][0], top[f][1] - scores[raw[f:e]]) for f in range(max(0, e - 48), e) if raw[f:e] in scores]
+            top.append(min(ways))
+        return top[-1]
+
+    texts = ["a   b", "  ", " ", "def f(x):\n        return  12 + x\n" + " " * 37 + "end ", "7", "12 345", "中文 字 é 梦", "𐍈𐍈 𐍈", " lead", "▁▁x", "x" * 70 + " " * 90 + "y1", "\t\t  q", "a b  c   d    e"]
+    ids, first = c.encode(pa.array(texts))
+    for k, t in enumerate(texts):
+        own = [int(i) for i in ids[first[k] : first[k + 1]]]
+        spelled = [i for i in own if lib.is_byte(i)]
+        assert (len(spelled), -sum(lib.get_score(i) for i in own if not lib.is_byte(i))) == best(b" " + t.replace("▁", " ").encode()), t
+        assert c.byte_ids[32] not in spelled
+    ids, first = c.encode(pa.array(["a   b", "7"]))
+    assert [lib.id_to_piece(int(i)) for i in ids] == ["▁a", "▁▁", "▁b", "▁", "7"]
+    assert c.decode(ids, first) == [b"a   b", b"7"]
+
+
 def test_sentencepiece_frames(docs, plain):
     encoded = sentencepiece_codec.encode(docs)
     back = {r.doc_id: r.text for r in sentencepiece_codec.decode(encoded).collect()}
