@@ -105,6 +105,13 @@ def unpacked(columns: list[str], put: dict | None = None) -> list:
     return [((put or {})[c] if c in (put or {}) else F.col(f"row.`{c}`")).alias(c) for c in columns]
 
 
+def row_key(doc_id: str, text: str) -> list:
+    """Two longs, 128 bits of a SHA-256 of id and text: rows alike in both are alike in id and text."""
+    whole = F.concat(F.coalesce(F.col(doc_id).cast("long").cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text), F.lit("")))
+    digest = F.sha2(whole, 256)
+    return [F.conv(F.substring(digest, at, 16), 16, -10).cast("long") for at in (1, 17)]
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, component) of every node of the undirected edges (a, b); component is the smallest id reachable.
 

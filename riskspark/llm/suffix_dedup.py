@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import Scratch, packed, release, slices, unpacked
+from ._shared import Scratch, packed, release, row_key, slices, unpacked
 
 LENGTH = 200
 #: A power of two; every string's anchor is among its first WINDOW places.
@@ -45,8 +45,6 @@ HOT_SHARE, HOT_LEAST = 0.004, 8
 SIDE = WINDOW // 2
 #: Buckets that suffixes of hot cores are dealt to, for each bucket of the others.
 HOT_BUCKETS = 1
-#: Bits of a text's hash that tell rows alike in id apart.
-TAG_BITS = 15
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -84,16 +82,13 @@ def _raw(column: pa.Array) -> tuple[memoryview, np.ndarray, np.ndarray, np.ndarr
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """id and tag tell rows apart; rows alike in both have equal texts, up to the tag's bits."""
-    return docs.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("id"),
-        F.expr(f"CAST(xxhash64(`{text}`) & {(1 << TAG_BITS) - 1} AS INT)").alias("tag"),
-        F.col(text).alias("text"),
-    )
+    """id and tag, the key of a row, and its text."""
+    own, tag = row_key(doc_id, text)
+    return docs.select(own.alias("id"), tag.alias("tag"), F.col(text).alias("text"))
 
 
 def _anchor_rows(keyed: DataFrame) -> DataFrame:
-    """(core, reach, id, place, n): place packs tag, a, a - s and a - e; n is 1, or 2 for one row that stands for several.
+    """(core, reach, id, tag, place, n): place packs a, a - s and a - e; n is 1, or 2 for one row that stands for several.
 
     Anchors of one core and reach that a few megabytes of text hold more than once are repeated, whatever else there is: their
     joined spans go on as rows of n 0, the span in reach, and one row of n 2 goes on for all of them.
@@ -114,8 +109,7 @@ def _anchor_rows(keyed: DataFrame) -> DataFrame:
                 reach = np.array(
                     [h(data[x:y], k) for x, y, k in zip(s.tolist(), (e + LENGTH).tolist(), ((back << 8) + fore).tolist(), strict=True)], np.uint64
                 ).view(np.int64)
-                tag = own.column(1).to_numpy().astype(np.int64)
-                place = (tag[doc] << 45) | ((a - first[doc]) << 14) | (back << 7) | fore
+                place = ((a - first[doc]) << 14) | (back << 7) | fore
                 by = np.lexsort((reach, core))
                 same = (core[by][1:] == core[by][:-1]) & (reach[by][1:] == reach[by][:-1])
                 lead, follow = np.concatenate(([True], ~same)), np.concatenate((same, [False]))
@@ -129,24 +123,25 @@ def _anchor_rows(keyed: DataFrame) -> DataFrame:
                 tail = np.append(head[1:], len(spot))[: len(head)] - 1
                 at = doc[spot][head]
                 span = ((s[spot][head] - first[at]) << 32) + e[spot][tail] + LENGTH - first[at]
+                texts = pa.array(np.concatenate((doc[one], at)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate((core[one], span * np.int64(-7046029254386353131) + np.arange(len(at))))), pa.array(np.concatenate((reach[one], span))),
-                        own.column(0).take(pa.array(np.concatenate((doc[one], at)))), pa.array(np.concatenate((place[one], tag[at] << 45))),
+                        own.column(0).take(texts), own.column(1).take(texts), pa.array(np.concatenate((place[one], np.zeros(len(at), np.int64)))),
                         pa.array(np.concatenate((np.where(twice[one], 2, 1), np.zeros(len(at), np.int64))), pa.int32()),
                     ],
-                    names=["core", "reach", "id", "place", "n"],
+                    names=["core", "reach", "id", "tag", "place", "n"],
                 )
             release()
 
-    return keyed.mapInArrow(run, "core long, reach long, id long, place long, n int")
+    return keyed.mapInArrow(run, "core long, reach long, id long, tag long, place long, n int")
 
 
 FULL, PART, PEER, SPAN = 1, 2, 4, 8
 
 
 def _candidates(rows: DataFrame, hot: np.ndarray) -> DataFrame:
-    """(id, place, kind, span): FULL runs are repeated throughout; PART runs must be compared, with one PEER of each other reach;
+    """(id, tag, place, kind, span): FULL runs are repeated throughout; PART runs must be compared, with one PEER of each other reach;
     SPAN rows are spans that are known already.
 
     Rows of one core meet in one task, in order of their reach; those of hot cores, which are known to be repeated and to have
@@ -163,11 +158,11 @@ def _candidates(rows: DataFrame, hot: np.ndarray) -> DataFrame:
             batch = next(source, None)
             last = batch is None
             if not last:
-                known = pc.equal(batch.column(4), 0)
+                known = pc.equal(batch.column(5), 0)
                 spans = batch.filter(known)
                 if spans.num_rows:
                     kinds = pa.array(np.full(spans.num_rows, SPAN), pa.int32())
-                    yield pa.RecordBatch.from_arrays([spans.column(2), spans.column(3), kinds, spans.column(1)], names=["id", "place", "kind", "span"])
+                    yield pa.RecordBatch.from_arrays([spans.column(2), spans.column(3), spans.column(4), kinds, spans.column(1)], names=["id", "tag", "place", "kind", "span"])
                     batch = batch.filter(pc.invert(known))
                 if not batch.num_rows:
                     continue
@@ -193,8 +188,8 @@ def _candidates(rows: DataFrame, hot: np.ndarray) -> DataFrame:
             if len(keep):
                 at = pa.array(keep)
                 yield pa.RecordBatch.from_arrays(
-                    [t["id"].combine_chunks().take(at), t["place"].combine_chunks().take(at), pa.array(kind[keep], pa.int32()), pa.array(np.zeros(len(keep), np.int64))],
-                    names=["id", "place", "kind", "span"],
+                    [*(t[c].combine_chunks().take(at) for c in ("id", "tag", "place")), pa.array(kind[keep], pa.int32()), pa.array(np.zeros(len(keep), np.int64))],
+                    names=["id", "tag", "place", "kind", "span"],
                 )
             if not last:
                 prior = (core[n - 2], reach[n - 2]) if n > 1 else prior
@@ -203,7 +198,7 @@ def _candidates(rows: DataFrame, hot: np.ndarray) -> DataFrame:
 
     deal = F.when(F.col("core").isin(hot.tolist()), F.col("reach")).otherwise(F.col("core")) if len(hot) else F.col("core")
     dealt = rows.withColumn("deal", deal).repartition("deal").sortWithinPartitions("core", "reach").drop("deal")
-    return dealt.mapInArrow(run, "id long, place long, kind int, span long")
+    return dealt.mapInArrow(run, "id long, tag long, place long, kind int, span long")
 
 
 def _tokens(rows: np.ndarray) -> np.ndarray:
@@ -312,7 +307,7 @@ def _sampled(keyed: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _suffixes(wanted: DataFrame, keyed: DataFrame, cuts: np.ndarray, hot: np.ndarray) -> DataFrame:
-    """(bucket, id, place, kind, low, high, suffix, context) of the wanted anchors, fetched from their texts; low to high: the d to compare."""
+    """(bucket, id, tag, place, kind, low, high, suffix, context) of the wanted anchors, fetched from their texts; low to high: the d to compare."""
     spread = HOT_BUCKETS * (len(cuts) + 1)
     asked = wanted.groupBy("id", "tag").agg(F.sort_array(F.collect_set(F.expr("place * 8 + kind"))).alias("asked"))
     joined = keyed.join(asked, ["id", "tag"])
@@ -352,14 +347,14 @@ def _suffixes(wanted: DataFrame, keyed: DataFrame, cuts: np.ndarray, hot: np.nda
                 at = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(bucket, pa.int32()), own.column(0).take(pa.array(doc[rows])), pa.array(place[rows]), pa.array(kind[rows], pa.int32()),
+                        pa.array(bucket, pa.int32()), own.column(0).take(pa.array(doc[rows])), own.column(1).take(pa.array(doc[rows])), pa.array(place[rows]), pa.array(kind[rows], pa.int32()),
                         pa.array(low, pa.int32()), pa.array(high, pa.int32()), pa.array(suffix, pa.binary()).take(at), pa.array(context, pa.binary()).take(at),
                     ],
-                    names=["bucket", "id", "place", "kind", "low", "high", "suffix", "context"],
+                    names=["bucket", "id", "tag", "place", "kind", "low", "high", "suffix", "context"],
                 )
             release()
 
-    return joined.select("id", "tag", "text", "asked").mapInArrow(run, "bucket int, id long, place long, kind int, low int, high int, suffix binary, context binary")
+    return joined.select("id", "tag", "text", "asked").mapInArrow(run, "bucket int, id long, tag long, place long, kind int, low int, high int, suffix binary, context binary")
 
 
 def _compared(suffixes: DataFrame) -> DataFrame:
@@ -388,14 +383,14 @@ def _compared(suffixes: DataFrame) -> DataFrame:
             stop = np.append(new[1:], len(row)) - 1
             yield pa.RecordBatch.from_arrays(
                 [
-                    t["id"].combine_chunks().take(pa.array(row[new])), pa.array(place[row[new]] >> 45, pa.int32()),
+                    t["id"].combine_chunks().take(pa.array(row[new])), t["tag"].combine_chunks().take(pa.array(row[new])),
                     pa.array((start[new] << 32) + start[stop] + LENGTH),
                 ],
                 names=["id", "tag", "span"],
             )
         release()
 
-    return suffixes.repartition("bucket").mapInArrow(run, "id long, tag int, span long")
+    return suffixes.repartition("bucket").mapInArrow(run, "id long, tag long, span long")
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -404,7 +399,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     keyed = _keyed(docs, doc_id, text)
     buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts, hot = _sampled(keyed, buckets)
-    found = scratch.table(_candidates(_anchor_rows(keyed), hot).withColumn("tag", F.expr("CAST(place >> 45 AS INT)")))
+    found = scratch.table(_candidates(_anchor_rows(keyed), hot))
     scratch.free_shuffles()
     wanted = found.where(f"(kind & {PART | PEER}) > 0").select("id", "tag", "place", "kind")
     part = scratch.table(_compared(_suffixes(wanted, keyed, cuts, hot)))
@@ -436,10 +431,8 @@ def kept_bytes(text: str | None, spans: list[tuple[int, int]]) -> bytes:
 
 
 def _with_spans(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    own = docs.select(
-        packed(docs), F.col(text).alias("_text"), F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("_id"),
-        F.expr(f"CAST(xxhash64(`{text}`) & {(1 << TAG_BITS) - 1} AS INT)").alias("_tag"),
-    )
+    key, tag = row_key(doc_id, text)
+    own = docs.select(packed(docs), F.col(text).alias("_text"), key.alias("_id"), tag.alias("_tag"))
     spans = repeated_spans(docs, text, doc_id).select(F.col("id").alias("_id"), F.col("tag").alias("_tag"), F.col("spans").alias("_spans"))
     return own.join(spans, ["_id", "_tag"], "left")
 

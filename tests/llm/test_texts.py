@@ -164,6 +164,21 @@ def test_repeats(docs, plain):
     assert sum(g[2] for g in got) > 3000
 
 
+def test_repeats_of_rows_without_ids(spark):
+    import random
+
+    draw = random.Random(3)
+    some = lambda n: "".join(draw.choice("abcdefgh ijkl") for _ in range(n))
+    passages = [some(230) for _ in range(150)]
+    rows = [(None if i % 3 else -5, some(draw.randint(0, 300)) + (passages[i % 150] if i % 2 else "") + some(draw.randint(150, 300))) for i in range(1200)]
+    rows += [(-(2**63), rows[1][1]), (None, "5:" + rows[3][1]), (5, rows[3][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [tuple(r) for r in suffix_dedup.digest(df).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()]
+    assert ordered(got) == ordered(brute_repeats(rows))
+    cut = [hashlib.sha256(r.text.encode()).hexdigest() for r in suffix_dedup.cut_repeats(df).collect()]
+    assert sorted(cut) == sorted(b[-1] for b in got if b[1] > b[2])
+
+
 @pytest.mark.parametrize("hot", [8, 2])
 @pytest.mark.parametrize("seed", range(4))
 def test_repeats_of_small_alphabets(spark, monkeypatch, seed, hot):
