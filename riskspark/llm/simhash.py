@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import Scratch, components, forest, packed, release, unpacked
+from ._shared import Scratch, components, forest, packed, release, row_key, unpacked
 
 SHINGLE = 4
 SEED = 42
@@ -181,6 +181,12 @@ def links(fps: DataFrame, limit: int = LIMIT) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def _named(classes: DataFrame, limit: int, scratch: Scratch) -> DataFrame:
+    """classes, one row for each fingerprint fp, with the component of each, a fingerprint."""
+    comps = components(links(classes.select("fp"), limit), scratch)
+    return classes.join(comps.select(F.col("id").alias("fp"), "component"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
 def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", limit: int = LIMIT) -> DataFrame:
     """doc_id, fp (signed) and component_id for every row.
 
@@ -190,10 +196,7 @@ def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lim
     scratch = Scratch(docs.sparkSession, "simhash")
     rows = scratch.table(docs.select(F.col(doc_id).alias("doc_id"), fingerprint_column(F.col(text)).alias("fp")))
     classes = scratch.table(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    comps = components(links(classes.select("fp"), limit), scratch)
-    named = classes.join(comps.select(F.col("id").alias("fp"), "component"), "fp", "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component")
-    )
+    named = _named(classes, limit, scratch)
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = scratch.table(named.join(least, "component").select("fp", "component_id"))
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
@@ -204,13 +207,13 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """docs without those whose component has a smaller id; of rows alike in id and text one stays.
-
-    A component without any id keeps its rows, one of each text.
-    """
-    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))  # one plain key, also where ids are null
-    first = near_groups(docs).where("doc_id <=> component_id").select(own.alias("_own")).distinct()
-    # texts are told apart by their digest, so that the rows stay where the join has put them
-    rows = docs.select(packed(docs), own.alias("_own"), F.md5("text").alias("_digest"))
-    kept = rows.join(first, "_own", "left_semi").dropDuplicates(["_own", "_digest"])
+    """docs with one row of each component: that of the smallest id, null ids last, and of rows alike in id that of the smallest row key."""
+    scratch = Scratch(docs.sparkSession, "simhash")
+    key = [k.alias(f"_k{i}") for i, k in enumerate(row_key("doc_id", "text"))]
+    own = F.col("doc_id").cast("long")
+    rows = docs.select(F.struct(own.isNull().alias("without"), own.alias("id"), *key).alias("head"), fingerprint_column(F.col("text")).alias("fp"))
+    classes = scratch.table(rows.groupBy("fp").agg(F.min("head").alias("head")))
+    first = _named(classes, LIMIT, scratch).groupBy("component").agg(F.min("head").alias("head")).select("head._k0", "head._k1")
+    # rows alike in their key are alike in id and text; the rows stay where the join has put them
+    kept = docs.select(packed(docs), *key).join(first, ["_k0", "_k1"], "left_semi").dropDuplicates(["_k0", "_k1"])
     return kept.select(*unpacked(docs.columns))

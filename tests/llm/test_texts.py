@@ -298,6 +298,28 @@ def test_simhash(docs, plain):
     assert kept.columns == docs.columns and kept.where("doc_id IS NOT NULL").count() == len(set(least.values()) - {None})
 
 
+def test_one_of_each_group_stays(spark):
+    import random
+
+    draw = random.Random(7)
+    some = lambda: [draw.choice("abcdefgh") + str(draw.randint(0, 99)) for _ in range(120)]
+    rows = []
+    for g in range(40):
+        base = some()
+        ids = [None] * 4 if g % 4 == 0 else [7, 7, 7] if g % 4 == 1 else [None, 1000 + g, None, 500 + g] if g % 4 == 2 else [None]
+        rows += [(i, " ".join([*base[:-1], "end"] if k == 1 else base).upper() if k == 2 else " ".join([*base[:-1], "end"] if k == 1 else base)) for k, i in enumerate(ids)]
+    rows += [(None, some_text) for some_text in (None, "", " ")]
+    fps = [brute_fingerprint(t) for _, t in rows]
+    comp = brute_components(fps, lambda a, b: (a ^ b).bit_count() <= 4)
+    want = {}
+    for (i, _), c in zip(rows, comp, strict=True):
+        want[c] = min((x for x in (want.get(c), i) if x is not None), default=None)
+    assert len(want) < len(rows) - 40
+    kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    where = {(i, t): c for (i, t), c in zip(rows, comp, strict=True)}
+    assert sorted(((where[r.doc_id, r.text], r.doc_id) for r in kept), key=repr) == sorted(want.items(), key=repr)
+
+
 @pytest.mark.parametrize("seed,limit", [(0, 4), (1, 4), (2, 3), (3, 1)])
 def test_trie_join_finds_every_link(spark, seed, limit):
     draw = np.random.default_rng(seed)
