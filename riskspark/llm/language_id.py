@@ -1,8 +1,9 @@
 """Language ID as mixture inference: a document is a mixture of learned languages over byte n-grams.
 
 Learning counts hashed n-grams of the labelled texts by language. For a document, expectation-maximisation
-finds the proportions of all languages that make its n-grams likeliest; languages ordered by proportion give nested
-sets; each set is fitted again, and the set with the best likelihood less a penalty for each member is taken.
+finds the proportions of all languages that make its n-grams likeliest, until no proportion moves by more than NEAR in a
+round; languages ordered by proportion give nested sets of any size; each set is fitted again, and the set with the best likelihood
+less a penalty for each member is taken.
 The prediction is the language with the largest proportion in that set, the score is the proportion.
 """
 
@@ -21,9 +22,9 @@ from ._shared import bounded_batches, packed, release, unpacked
 UNKNOWN = "und"
 BUCKETS = 1 << 16
 SMOOTH = 0.5
-STEPS = 10
-#: Sets of more than SET languages are not fitted; a language below SHARE joins none.
-SET = 3
+#: Proportions that move by less in a round of expectation and maximisation are found.
+NEAR = 1e-4
+#: A language below SHARE joins no set.
 SHARE = 0.05
 #: Penalty for each language of a set: PENALTY * log(number of n-grams).
 PENALTY = 2.0
@@ -89,11 +90,30 @@ class Model:
         return names, scores
 
     def _em(self, p, count, start, doc, total, share):
-        """Proportions after STEPS rounds from share (zeros stay zero), and their log likelihood."""
-        for _ in range(STEPS):
-            w = p * share[doc]
-            w *= (count / w.sum(1))[:, None]
-            share = np.add.reduceat(w, start, axis=0) / total[:, None]
+        """Proportions from share (zeros stay zero) until no round moves them by NEAR, and their log likelihood.
+
+        Documents that are settled leave the rounds, half of those that are left at a time.
+        """
+        share = share.copy()
+        live = np.arange(len(total))
+        own_p, own_count, own_start, own_doc = p, count, start, doc
+        sizes = np.diff(np.append(start, len(count)))
+        moves = np.full(len(total), np.inf)
+        while len(live):
+            now = share[live]
+            w = own_p * now[own_doc]
+            w *= (own_count / w.sum(1))[:, None]
+            after = np.add.reduceat(w, own_start, axis=0) / total[live][:, None]
+            open_ = moves[live] >= NEAR
+            moves[live[open_]] = np.abs(after - now).max(1)[open_]
+            share[live[open_]] = after[open_]
+            left = moves[live] >= NEAR
+            if left.sum() <= len(live) // 2:
+                rows = np.repeat(left, sizes[live])
+                live = live[left]
+                own_p, own_count = own_p[rows], own_count[rows]
+                own_start = np.cumsum(sizes[live]) - sizes[live]
+                own_doc = np.repeat(np.arange(len(live)), sizes[live])
         return share, np.add.reduceat(count * np.log((p * share[doc]).sum(1)), start)
 
     def _fit(self, batch, names, scores) -> None:
@@ -112,7 +132,7 @@ class Model:
         pick, best = alone.argmax(1), alone.max(1) - PENALTY * np.log(total)
         score = np.ones(len(batch))
         ranked = np.take_along_axis(share, order, 1)
-        for size in range(2, min(SET, k) + 1):
+        for size in range(2, k + 1):
             docs = np.flatnonzero(ranked[:, size - 1] >= SHARE)
             if not len(docs):
                 break

@@ -246,6 +246,24 @@ def test_language(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_language_of_many():
+    """Five languages in unlike shares: the score is the share of the first among all five, with proportions that stand still."""
+    stock = ["the of and ing her that", "der die und nicht ein sch", "que los para con una por", "jsem byl kdy tak proto", "olla ja hyvin kuin mutta", "xwq zzv kkj"]
+    texts = [" ".join([w] * 50) for w in stock]
+    counts = np.stack([np.bincount(language_id.grams(language_id.normal(t)), minlength=language_id.BUCKETS) for t in texts], 1)
+    model = language_id.Model(list("abcdef"), counts)
+    times = [30, 20, 16, 13, 11]
+    mixed = " ".join(" ".join([w] * n) for w, n in zip(stock, times, strict=False))
+    (name,), (score,) = model.predict([mixed])
+    codes, count = np.unique(language_id.grams(language_id.normal(mixed)), return_counts=True)
+    p, share = model.prob[codes][:, :5].astype(float), np.full(5, 0.2)
+    for _ in range(3000):
+        w = p * share
+        share = (w / w.sum(1, keepdims=True) * count[:, None]).sum(0) / count.sum()
+    assert name == "a" and score == pytest.approx(share[0], abs=0.005)
+    assert model.predict([mixed, texts[1], None, mixed])[0] == ["a", "b", "und", "a"]
+
+
 def test_language_never_reads_labels_of_the_held_out(spark):
     text = {0: "the and of", 1: "der und die"}
     rows = [(i, text[i % 2] * 5, "x" if zlib.crc32(str(i).encode()) % 3 == 1 else "ab"[i % 2]) for i in range(60)]
