@@ -64,56 +64,84 @@ ALLOW = (
 )
 
 SPAN = "STRUCT<s: BIGINT, e: BIGINT, x: STRING>"
+TAGGED = "STRUCT<s: BIGINT, k: INT, e: BIGINT, kind: STRING>"
 
 
 def _text(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _places(found: str, gaps: str) -> str:
-    """Spans of the matches `found`, given the pieces of text before, between and after them."""
-    return f"""aggregate(zip_with(slice({gaps}, 1, size({found})), {found}, (p, x) -> struct(p AS p, x AS x)),
-      struct(0L AS e, CAST(array() AS ARRAY<{SPAN}>) AS out),
-      (a, z) -> struct(a.e + length(z.p) + length(z.x) AS e, concat(a.out, array(struct(
-        CAST(a.e + length(z.p) AS BIGINT) AS s, CAST(a.e + length(z.p) + length(z.x) AS BIGINT) AS e, z.x AS x))) AS out),
-      a -> a.out)"""
+#: Elements, or characters of a run, that are handled as one block, so that no result is copied once for each of its elements.
+BLOCK = 1024
+
+
+def _blocked(array: str, zero: str, step, out, kind: str) -> str:
+    """Running state along an array, in time proportional to its length: step(state, z) and out(state before z, z) are SQL.
+
+    Results are appended within blocks only; each block starts from the state that the blocks before it leave behind.
+    """
+    blocks, part = f"sequence(0, CAST((size({array}) - 1) DIV {BLOCK} AS INT))", lambda k: f"slice({array}, {k} * {BLOCK} + 1, {BLOCK})"
+    ahead = f"""aggregate({blocks}, struct(array({zero}) AS c), (w, k) -> struct(concat(w.c, array(
+      aggregate({part('k')}, get(w.c, k), (c, z) -> {step('c', 'z')}))) AS c), w -> w.c)"""
+    return f"""CASE WHEN size({array}) > 0 THEN flatten(get(transform(array({ahead}), s -> transform({blocks}, k -> aggregate({part('k')},
+      struct(get(s, k) AS c, CAST(array() AS ARRAY<{kind}>) AS out),
+      (a, z) -> struct({step('a.c', 'z')} AS c, concat(a.out, array({out('a.c', 'z')})) AS out), a -> a.out))), 0)) ELSE CAST(array() AS ARRAY<{kind}>) END"""
 
 
 def _located(df: DataFrame, name: str, pattern: str) -> DataFrame:
-    """Add name: the spans of all leftmost non-overlapping matches of pattern in column t."""
+    """Add name: the spans of all leftmost non-overlapping matches of pattern in column t, from the matches and the pieces between them."""
     df = df.withColumn("_m", F.expr(f"regexp_extract_all(t, {_text(pattern)}, 0)"))
     df = df.withColumn("_g", F.expr(f"CASE WHEN size(_m) > 0 THEN split(t, {_text(pattern)}, -1) ELSE CAST(array() AS ARRAY<STRING>) END"))
-    return df.withColumn(name, F.expr(f"CASE WHEN size(_m) > 0 THEN {_places('_m', '_g')} ELSE CAST(array() AS ARRAY<{SPAN}>) END")).drop("_m", "_g")
+    df = df.withColumn("_z", F.expr("zip_with(slice(_g, 1, size(_m)), _m, (p, x) -> struct(CAST(length(p) AS BIGINT) AS p, CAST(length(x) AS BIGINT) AS n, x AS x))"))
+    places = _blocked("_z", "0L", lambda c, z: f"{c} + {z}.p + {z}.n", lambda c, z: f"struct({c} + {z}.p AS s, {c} + {z}.p + {z}.n AS e, {z}.x AS x)", SPAN)
+    return df.withColumn(name, F.expr(places)).drop("_m", "_g", "_z")
 
 
 def _windows(c: CharClass) -> str:
-    """A SQL expression on a span r: the merged spans of its windows of high entropy, as array of (s, e)."""
-    w, g = c.window, "array(" + ", ".join(f"{round(SCALE * n * math.log2(n)) if n else 0}L" for n in range(c.window + 2)) + ")"
-    code = lambda at: f"ascii(substring(r.x, {at}, 1))"
-    pair = "STRUCT<s: BIGINT, e: BIGINT>"
-    state = f"struct(array_repeat(0, 128) AS n, 0L AS sum, -1L AS s, -1L AS e, CAST(array() AS ARRAY<{pair}>) AS out)"
-    # i runs from 1; the character that enters is at i, the one that leaves at i - w
-    enter = f"struct(a.n AS n, a.sum + get({g}, get(a.n, {code('i')}) + 1) - get({g}, get(a.n, {code('i')})) AS sum)"
-    counted = f"transform(a.n, (k, j) -> k + IF(j = {code('i')}, 1, 0) - IF(i > {w} AND j = {code(f'i - {w}')}, 1, 0))"
-    # the leaving character's count before it leaves: with the one that has just entered, if alike
-    left = f"(get(a.n, {code(f'i - {w}')}) + IF({code('i')} = {code(f'i - {w}')}, 1, 0))"
-    total = f"{enter}.sum + IF(i > {w}, get({g}, {left} - 1) - get({g}, {left}), 0L)"
-    begin, end = f"(r.s + i - {w})", "(r.s + i)"
-    closed = "CASE WHEN b.e >= 0 THEN concat(b.out, array(struct(b.s AS s, b.e AS e))) ELSE b.out END"
-    # step 1 updates counts and sum, step 2 extends, closes or opens a span
-    step1 = f"struct({counted} AS n, {total} AS sum, a.s AS s, a.e AS e, a.out AS out)"
-    step2 = f"""get(transform(array({step1}), b ->
-        CASE WHEN i < {w} OR b.sum > {c.most()}L THEN b
-             WHEN b.e >= {begin} THEN struct(b.n AS n, b.sum AS sum, b.s AS s, {end} AS e, b.out AS out)
-             ELSE struct(b.n AS n, b.sum AS sum, {begin} AS s, {end} AS e, {closed} AS out) END), 0)"""
-    return f"aggregate(sequence(1, length(r.x)), {state}, (a, i) -> {step2}, b -> {closed})"
+    """A SQL expression on a span r: the merged spans of its windows of high entropy, as array of (s, e).
+
+    A run of n characters takes time in proportion to n. Its windows are dealt out in blocks of BLOCK, and each block also reads
+    the windows up to one length before and after its own, so that it knows which of its windows begin and which end a span. The counts of a window
+    are bit fields of a few longs: the character that leaves and the one that enters change one field each.
+    """
+    w, bits = c.window, c.window.bit_length()
+    fields = 62 // bits
+    words, mask = -(-128 // fields), (1 << bits) - 1
+    g = "array(" + ", ".join(f"{round(SCALE * n * math.log2(n)) if n else 0}L" for n in range(w + 2)) + ")"
+    longs = "ARRAY<BIGINT>"
+    # characters with the long and the bit that count them, of windows lo to hi
+    chars = f"""transform(split(CAST(substring(CAST(r.x AS BINARY), v.lo + 1, v.hi - v.lo + {w}) AS STRING), ''), x -> struct(
+        ascii(x) DIV {fields} AS w, CAST(ascii(x) % {fields} * {bits} AS INT) AS h))"""
+    held = lambda n, z: f"CAST(shiftright(get({n}, CAST({z}.w AS INT)), {z}.h) & {mask}L AS INT)"
+    own = lambda at: f"(v.lo + {at} >= v.f AND v.lo + {at} < v.f + {BLOCK})"
+    # in and out: the character that enters, at i, and the one that leaves, null while the first window fills
+    ends = f"struct(get(q, i) AS i, IF(i >= {w}, get(q, i - {w}), NULL) AS o)"
+    left = f"struct(z.i AS i, z.o AS o, {held('a.n', 'z.i')} - IF(z.i = z.o, 1, 0) AS ni, {held('a.n', 'z.o')} AS no)"
+    counted = """IF(y.i <=> y.o, a.n, transform(a.n, (n, j) -> n + IF(j = y.i.w, shiftleft(1L, y.i.h), 0L) - IF(j = y.o.w, shiftleft(1L, y.o.h), 0L)))"""
+    total = f"a.sum + get({g}, y.ni + 1) - get({g}, y.ni) + IF(y.o IS NULL, 0L, get({g}, y.no - 1) - get({g}, y.no))"
+    updated = f"get(transform(transform(array({ends}), z -> {left}), y -> struct({counted} AS n, {total} AS sum)), 0)"
+    # p: the last window of high entropy so far
+    at = f"(i - {w - 1})"
+    far = f"(a.p < 0 OR {at} - a.p > {w})"
+    high = f"""struct(u.n AS n, u.sum AS sum, {at} AS p, IF({far} AND {own(at)}, concat(a.s, array(CAST(v.lo + {at} AS BIGINT))), a.s) AS s,
+        IF({far} AND a.p >= 0 AND {own('a.p')}, concat(a.e, array(CAST(v.lo + a.p + {w} AS BIGINT))), a.e) AS e)"""
+    step = f"""get(transform(array({updated}), u -> IF(i < {w - 1} OR u.sum > {c.most()}L, struct(u.n AS n, u.sum AS sum, a.p AS p, a.s AS s, a.e AS e), {high})), 0)"""
+    zero = f"struct(array_repeat(0L, {words}) AS n, 0L AS sum, -1 AS p, CAST(array() AS {longs}) AS s, CAST(array() AS {longs}) AS e)"
+    last = f"struct(a.s AS s, IF(a.p >= 0 AND {own('a.p')}, concat(a.e, array(CAST(v.lo + a.p + {w} AS BIGINT))), a.e) AS e)"
+    block = f"""get(transform(array({chars}), q -> aggregate(sequence(0, v.hi - v.lo + {w - 1}), {zero}, (a, i) -> {step}, a -> {last})), 0)"""
+    many = f"(CAST(length(r.x) AS INT) - {w - 1})"
+    bounds = f"""transform(sequence(0, CAST(({many} - 1) DIV {BLOCK} AS INT)), k -> struct(
+        k * {BLOCK} AS f, greatest(0, k * {BLOCK} - {w}) AS lo, least({many} - 1, (k + 1) * {BLOCK} - 1 + {w}) AS hi))"""
+    blocks = f"transform({bounds}, v -> {block})"
+    return f"""get(transform(array({blocks}), t -> zip_with(flatten(transform(t, x -> x.s)), flatten(transform(t, x -> x.e)),
+        (s, e) -> struct(r.s + s AS s, r.s + e AS e))), 0)"""
 
 
 def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), classes=CLASSES) -> DataFrame:
     """keep, t (the text, null as empty), base and spans: arrays of (s, k, e, kind) ordered by start, then kind as listed.
 
     One row for each input row; null and empty texts have no spans; other columns are not read. Text of any length
-    is scanned whole.
+    is scanned whole, in time proportional to its length; a sort of its spans is all that grows faster.
     """
     ids = [f"_k{i}" for i in range(len(keep))]
     x = docs.select(*(F.col(c).alias(k) for c, k in zip(keep, ids, strict=True)), F.coalesce(F.col(text), F.lit("")).alias("t"))
@@ -134,10 +162,12 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
         x = x.withColumn(f"_r{k}", F.expr(f"filter(_r{k}, m -> {' AND '.join(wanted)})"))
         x = x.withColumn(f"_e{k}", F.expr(f"flatten(transform(_r{k}, r -> {_windows(c)}))"))
         extra.append(tagged(f"_e{k}", k, c.name))
-    x = x.withColumn("added", F.expr(f"concat({', '.join(extra)})"))
+    # along all spans by start, base kinds first: one that ends within a base span before it adds nothing
+    x = x.withColumn("_all", F.expr(f"array_sort(concat(base, {', '.join(extra)}))"))
+    further = lambda c, z: f"IF({z}.k < 3, greatest({c}, {z}.e), {c})"
+    kept = _blocked("_all", "-1L", further, lambda c, z: f"IF({z}.k < 3 OR {z}.e > {c}, {z}, NULL)", TAGGED)
     return x.select(
-        *(F.col(k).alias(c) for c, k in zip(keep, ids, strict=True)), F.col("t"), "base",
-        F.expr("array_sort(concat(base, filter(added, a -> NOT exists(base, b -> b.s <= a.s AND a.e <= b.e)))) AS spans"),
+        *(F.col(k).alias(c) for c, k in zip(keep, ids, strict=True)), F.col("t"), "base", F.expr(f"filter({kept}, m -> m IS NOT NULL) AS spans")
     )
 
 
@@ -156,22 +186,20 @@ def redact(docs: DataFrame, mark: str = "[REDACTED]", text: str = "text") -> Dat
     """docs with every span, overlapping ones merged, replaced by mark in the text; n_chars, where present, follows. Null texts stay null."""
     cols = docs.columns
     x = scan(docs.select(packed(docs), F.col(text).alias("text")), "text", ("row",))
-    x = x.withColumn(
-        "cuts",
-        F.expr(
-            """aggregate(spans, CAST(array() AS ARRAY<STRUCT<s: BIGINT, e: BIGINT>>), (a, m) ->
-                 CASE WHEN size(a) > 0 AND m.s < get(a, size(a) - 1).e
-                      THEN concat(slice(a, 1, size(a) - 1), array(struct(get(a, size(a) - 1).s AS s, greatest(get(a, size(a) - 1).e, m.e) AS e)))
-                      ELSE concat(a, array(struct(m.s AS s, m.e AS e))) END)"""
-        ),
-    )
-    quoted = mark.replace("'", "\\'")
-    clean = f"""CASE WHEN size(cuts) = 0 THEN t ELSE concat(array_join(zip_with(
-        concat(array(0L), transform(cuts, c -> c.e)), transform(cuts, c -> c.s), (f, e) -> IF(e IS NULL, substring(t, CAST(f + 1 AS INT)), substring(t, CAST(f + 1 AS INT), CAST(e - f AS INT)))), '{quoted}')) END"""
+    # a cut begins at a span that starts at or after all ends before it, and ends where the next one finds the largest end
+    opens = _blocked("spans", "-1L", lambda c, z: f"greatest({c}, {z}.e)", lambda c, z: f"IF({z}.s >= {c}, struct({z}.s AS s, {c} AS e), NULL)", "STRUCT<s: BIGINT, e: BIGINT>")
+    x = x.withColumn("_opens", F.expr(f"filter({opens}, m -> m IS NOT NULL)"))
+    x = x.withColumn("_ends", F.expr("IF(size(spans) > 0, concat(transform(slice(_opens, 2, size(_opens)), m -> m.e), array(array_max(transform(spans, m -> m.e)))), CAST(array() AS ARRAY<BIGINT>))"))
+    quoted = mark.replace("\\", "\\\\").replace("'", "\\'")
+    # what stays, from the text in blocks: a place in a long text is not counted out from its first character
+    x = x.withColumn("_blocks", F.expr(f"IF(size(spans) > 0, regexp_extract_all(t, '(?s).{{1,{BLOCK}}}', 0), CAST(array() AS ARRAY<STRING>))"))
+    held = f"array_join(slice(b, CAST(f DIV {BLOCK} AS INT) + 1, CAST(e DIV {BLOCK} - f DIV {BLOCK} AS INT) + 1), '')"
+    clean = f"""CASE WHEN size(spans) = 0 THEN t ELSE get(transform(array(_blocks), b -> array_join(zip_with(concat(array(0L), _ends), concat(transform(_opens, m -> m.s), array(CAST(length(t) AS BIGINT))),
+        (f, e) -> substring({held}, CAST(f % {BLOCK} + 1 AS INT), CAST(e - f AS INT))), '{quoted}')), 0) END"""
     x = x.withColumn("_clean", F.when(F.col(f"row.`{text}`").isNotNull(), F.expr(clean)))
     put = {text: F.col("_clean")}
     if "n_chars" in cols:
-        put["n_chars"] = F.when(F.expr("size(cuts) > 0"), F.length("_clean").cast("long")).otherwise(F.col("row.n_chars"))
+        put["n_chars"] = F.when(F.expr("size(spans) > 0"), F.length("_clean").cast("long")).otherwise(F.col("row.n_chars"))
     return x.select(*unpacked(cols, put))
 
 

@@ -57,6 +57,48 @@ def test_secrets(docs, plain):
     assert any("base64_entropy" in g[-1] for g in got) and sum(g[1] for g in got) >= 3
 
 
+@pytest.mark.parametrize("block", [1024, 40])
+def test_secrets_of_long_runs_and_many_spans(spark, monkeypatch, block):
+    import random
+
+    draw, stock = random.Random(5), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"
+    some = lambda n, of: "".join(draw.choice(of) for _ in range(n))
+    monkeypatch.setattr(secret_scan, "BLOCK", block)
+    # runs in which windows of high and low entropy alternate at all distances
+    mixed = "".join(some(draw.randint(1, 60), draw.choice([stock, "aB3", "abcdeF9h", "0123456789abcdef"])) for _ in range(160))
+    rows = [mixed, some(2500, stock), " ".join("é" * draw.randint(0, 3) + draw.choice(["token=", "", "secret: "]) + some(draw.randint(20, 50), stock) for _ in range(90))]
+    rows += [some(2600, "0123456789abcdef"), "password=" + some(1300, stock) + " AKIA" + some(40, "AB09") + " " + mixed[:1100]]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = [(r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256, r.spans) for r in secret_scan.digest(df).collect()]
+    assert ordered(got) == ordered([(i, *brute_secrets(t)) for i, t in enumerate(rows)])
+    clean = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
+    for i, t in enumerate(rows):
+        spans = sorted(tuple(map(int, s.split(":")[1:])) for s in brute_secrets(t)[-1].split(","))
+        cuts = []
+        for a, b in spans:
+            if cuts and a < cuts[-1][1]:
+                cuts[-1][1] = max(cuts[-1][1], b)
+            else:
+                cuts.append([a, b])
+        ends = [0, *(b for _, b in cuts)]
+        assert clean[i] == "[REDACTED]".join(t[f:e] for f, e in zip(ends, [*(a for a, _ in cuts), len(t)], strict=True))
+
+
+def test_secrets_cost_in_proportion_to_a_run(spark):
+    import random
+    import time
+
+    draw, took = random.Random(6), {}
+    for n in (20_000, 20_000, 200_000):
+        t = "".join(draw.choice("ABCDEFGHIJKLMNOPabcdefghijklmnop0123456789+/") for _ in range(n))
+        df = spark.createDataFrame([(0, t)], "doc_id long, text string")
+        began = time.time()
+        assert secret_scan.digest(df).collect()[0].spans
+        took[n] = time.time() - began
+    # ten times the length; were the cost quadratic it would be a hundred times
+    assert took[200_000] < 30 * max(took[20_000], 0.3)
+
+
 def test_redaction(docs):
     out = secret_scan.redact(docs)
     assert out.columns == docs.columns
