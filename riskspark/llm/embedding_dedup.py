@@ -1,14 +1,23 @@
 """Embedding near-dedup by spherical-cap filters with structured random product codes.
 
-A vector is rotated and cut into BLOCKS parts. Each part has its own random code of a few unit vectors, and every choice
+A vector is rotated and cut into BLOCKS parts. Each part has its own random code of unit vectors, and every choice
 of one code word for each part is a filter direction. List decoding finds all directions whose inner product with
-the vector exceeds the cap's height: sums of two parts are formed, and only those that can reach the height are
-expanded. The height is set for each vector, a margin below its best inner product: at one height for all, a product
-code lists hundreds of filters for some vectors and none for half of the others. TABLES rotations are listed side by side. Vectors that share a filter meet in its bucket, where their cosines are computed in double precision; a pair
-counts in the smallest filter that both share, so it counts once. Equal vectors are one class with a weight.
-Buckets above CELL members are hot. Each names a leader, and members within half the angle of a leader form its ball: any
+the vector exceeds the cap's height: the words of a part that can reach the height with the best of the other parts are
+combined part by part, and what can no longer reach it is dropped. The height is set for each vector, a margin below its best
+inner product: at one height for all, a product code lists hundreds of filters for some vectors and none for half of the
+others. TABLES rotations are listed side by side. The code grows with the table, by the cube root of the number of vectors, so that the vectors
+which share a filter by chance stay about as few for each vector at any size.
+
+Joining on filters moves numbers only. Each filter names a leader, one vector that exceeds it, and a vector goes to the leaders of its
+filters: all that share a filter meet at its leader, and their embeddings are sent once for each leader, not once for each filter. There cosines
+are computed in double precision; a pair counts at the smallest leader that both have, so it counts once. Filters that a bounded
+sample shows to be frequent have their leader from that sample, and their vectors go to it without a join.
+Equal vectors are one class with a weight.
+
+Groups above CELL members are hot. Members within half the angle of a leader form its ball: any
 two of a ball are linked, by the triangle inequality, so a ball's links are its size and are not compared. What is
-left of a hot bucket is split into blocks, by ball first, and each pair of blocks that is not within one ball is a cell of its own.
+left of a hot group is split into blocks, by ball first, and each pair of blocks that is not within one ball is a cell of its own. Blocks
+grow with the root of the group, so m loose members are sent about 2 * sqrt(m / CELL) times each, in some 4 * m / CELL cells.
 """
 
 from __future__ import annotations
@@ -25,59 +34,78 @@ from pyspark.sql import functions as F
 from ._shared import Scratch, components, forest
 
 COSINE = 0.95
-BLOCKS = 4
-TABLES = 2
+BLOCKS = 3
+TABLES = 3
 SEED = 20
-#: Code words of a part of at least 5 components; shorter parts take the unit vectors of both signs.
-WORDS = 24
+#: Code words of a part of at least 5 components, if no number of vectors is given; shorter parts take the unit vectors of both signs.
+WORDS = 64
 #: A cap's height lies this much, over the root of the number of components, below the vector's best inner product.
-MARGIN = 0.32
-CELL = 1500
+MARGIN = 0.25
+#: The same for codes of unit vectors, which are coarse.
+MARGIN_COARSE = 0.5
+#: Vectors that the frequent filters are found from (expected), and the number of them that makes a filter frequent.
+SAMPLE, FREQUENT = 4096, 12
+#: Members that make a group hot, and the most of a block of the largest groups.
+CELL, CELL_MOST = 4096, 16384
 SMALL = 48
 
 
+def words_for(vectors: int) -> int:
+    """Code words of a part: with them, a vector shares a filter by chance with about one in two others, whatever the number of vectors."""
+    return max(24, min(8192, round((1400 * vectors) ** (1 / 3))))
+
+
 @lru_cache(maxsize=16)
-def code(dim: int, seed: int) -> tuple[np.ndarray, np.ndarray, float]:
-    """(rotation, words, margin) for vectors of dim components, padded to a multiple of BLOCKS."""
+def code(dim: int, words: int, seed: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """(rotation, words, slack) for vectors of dim components, padded to a multiple of BLOCKS.
+
+    Parts of few components have fewer words: theirs would lie so densely that a vector exceeded thousands of filters.
+    """
     size = -(-dim // BLOCKS) * BLOCKS
     draw = np.random.default_rng([seed, dim])
     rotation = np.linalg.qr(draw.standard_normal((size, size)))[0]
     part = size // BLOCKS
     if part < 5:
-        book = np.tile(np.concatenate((np.eye(part), -np.eye(part))), (BLOCKS, 1, 1))
+        book, margin = np.tile(np.concatenate((np.eye(part), -np.eye(part))), (BLOCKS, 1, 1)), MARGIN_COARSE
     else:
-        book = draw.standard_normal((BLOCKS, WORDS, part))
+        book, margin = draw.standard_normal((BLOCKS, min(words, round(24 * 1.45 ** (min(part, 40) - 5))), part)), MARGIN
         book /= np.linalg.norm(book, axis=2, keepdims=True)
-    return rotation, book, MARGIN / math.sqrt(size)
+    return rotation.astype(np.float32), book.astype(np.float32), margin * math.sqrt(BLOCKS / size)
 
 
-def _decode(unit: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+def _decode(unit: np.ndarray, words: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     n, dim = unit.shape
-    rotation, book, margin = code(dim, seed)
-    x = np.zeros((n, rotation.shape[0]))
+    rotation, book, slack = code(dim, words, seed)
+    x = np.zeros((n, rotation.shape[0]), np.float32)
     x[:, :dim] = unit
     parts = (x @ rotation).reshape(n, BLOCKS, -1)
-    dots = np.einsum("nbk,bwk->nbw", parts, book)
-    words = book.shape[1]
-    left = (dots[:, 0, :, None] + dots[:, 1, None, :]).reshape(n, -1)
-    right = (dots[:, 2, :, None] + dots[:, 3, None, :]).reshape(n, -1)
-    # halves that cannot reach the height with the other half's best are not expanded
-    slack = margin * math.sqrt(BLOCKS)
-    row, i = np.nonzero(left >= left.max(1, keepdims=True) - slack)
-    row2, j = np.nonzero(right >= right.max(1, keepdims=True) - slack)
-    first, many = np.searchsorted(row2, row), np.bincount(row2, minlength=n)[row]
-    at = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-    rows, i, j = np.repeat(row, many), np.repeat(i, many), j[at]
-    best = (left.max(1) + right.max(1))[rows]
-    over = left[rows, i] + right[rows, j] >= best - slack
-    return rows[over], i[over] * words * words + j[over]
-
-
-def decode(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    # what a choice of words lacks to the best choice is the sum of what each word lacks to the best of its part
+    row, ids, lack = np.arange(n), np.zeros(n, np.int64), np.zeros(n, np.float32)
+    for b in range(BLOCKS):
+        dots = parts[:, b] @ book[b].T
+        dots = dots.max(1, keepdims=True) - dots
+        at, word = np.nonzero(dots <= slack)
+        short = dots[at, word]
+        first = np.searchsorted(at, np.arange(n + 1))
+        many = np.diff(first)[row]
+        pick = np.repeat(first[row] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        row, ids, lack = np.repeat(row, many), np.repeat(ids, many) * book.shape[1] + word[pick], np.repeat(lack, many) + short[pick]
+        over = lack <= slack
+        row, ids, lack = row[over], ids[over], lack[over]
+    return row, ids
+
+
+def decode(unit: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """(row, filter) of every filter direction that a row of unit vectors exceeds, in all tables; sorted by both."""
-    got = [_decode(unit, SEED + t) for t in range(TABLES)]
-    rows = np.concatenate([r for r, _ in got])
-    ids = np.concatenate([f + (t << 32) for t, (_, f) in enumerate(got)])
+    step = max(16, 3_000_000 // words)
+    got = []
+    for t in range(TABLES):
+        for at in range(0, len(unit), step):
+            row, ids = _decode(unit[at : at + step], words, SEED + t)
+            got.append((row + at, ids + (t << 40)))
+    none = np.zeros(0, np.int64)
+    rows = np.concatenate([none, *(r for r, _ in got)])
+    ids = np.concatenate([none, *(f for _, f in got)])
     by = np.lexsort((ids, rows))
     return rows[by], ids[by]
 
@@ -97,23 +125,51 @@ def _by_size(batch: pa.RecordBatch, name: str):
         yield int(n), batch.take(pa.array(np.flatnonzero(lengths == n)))
 
 
-def entries(classes: DataFrame) -> DataFrame:
-    """(cid, flts): the sorted filters of each class; the vector's length is part of a filter's number."""
+def entries(classes: DataFrame, words: int, leads: np.ndarray | None = None) -> DataFrame:
+    """(flt, cid) for each filter of each class; the vector's length is part of a filter's number.
+
+    leads holds frequent filters and their leaders, by filter; in their place stands -1 - leader.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                for n, batch in _by_size(whole.slice(at, 512), "embedding"):
-                    rows, ids = decode(units(batch.column("embedding")))
-                    ids = ids + (n << 40)
-                    ends = np.searchsorted(rows, np.arange(batch.num_rows + 1)).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([batch.column("cid"), pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))], names=["cid", "flts"])
-
-    return classes.select("cid", "embedding").mapInArrow(run, "cid long, flts array<long>")
+            for at in range(0, whole.num_rows, 2048):
+                for n, batch in _by_size(whole.slice(at, 2048), "embedding"):
+                    rows, ids = decode(units(batch.column("embedding")), words)
+                    ids += n << 44
+                    if leads is not None and len(leads):
+                        spot = np.minimum(np.searchsorted(leads[:, 0], ids), len(leads) - 1)
+                        known = leads[spot, 0] == ids
+                        # several filters of one vector may have one leader
+                        direct = np.unique(np.stack((rows[known], leads[spot[known], 1])), axis=1)
+                        rows, ids = np.concatenate((rows[~known], direct[0])), np.concatenate((ids[~known], -1 - direct[1]))
+                    yield pa.RecordBatch.from_arrays([pa.array(ids), batch.column("cid").take(pa.array(rows))], names=["flt", "cid"])
+
+    return classes.select("cid", "embedding").mapInArrow(run, "flt long, cid long")
+
+
+def _leads(classes: DataFrame, many: int, words: int) -> np.ndarray:
+    """Frequent filters and a leader of each, from about SAMPLE classes drawn by a hash; at most SAMPLE / FREQUENT times the filters of a vector."""
+    share = max(1, round(min(1.0, SAMPLE / max(1, many)) * 1048576))
+    drawn = entries(classes.where(f"(xxhash64(cid) & 1048575) < {share}"), words)
+    got = drawn.groupBy("flt").agg(F.count("*").alias("m"), F.min("cid").alias("leader")).where(f"m >= {FREQUENT}").select("flt", "leader").toArrow()
+    leads = np.stack([got[c].to_numpy() for c in ("flt", "leader")], axis=1).astype(np.int64) if got.num_rows else np.zeros((0, 2), np.int64)
+    return leads[np.argsort(leads[:, 0])]
+
+
+def leaders(classes: DataFrame, many: int) -> DataFrame:
+    """(cid, flts): the sorted leaders of each class that shares a filter with another, itself among them if it leads."""
+    words = words_for(many)
+    flat = entries(classes, words, _leads(classes, many, words))
+    # a filter without a known leader takes its first class; the window holds numbers only, and no filter of it is frequent
+    own = Window.partitionBy("flt", "apart").orderBy("cid")
+    named = flat.withColumn("apart", F.expr("IF(flt < 0, cid, 0L)")).withColumn("first", F.first("cid").over(own.rowsBetween(Window.unboundedPreceding, Window.currentRow))).withColumn("next", F.lead("cid").over(own))
+    kept = named.where("flt < 0 OR cid <> first OR next IS NOT NULL").select("cid", F.expr("IF(flt < 0, -1 - flt, first)").alias("leader"))
+    return kept.groupBy("cid").agg(F.sort_array(F.collect_set("leader")).alias("flts"))
 
 
 class _Bucket:
-    """Members of the cells of one run; links are counted once, edges make a forest."""
+    """Members of the cells of one run; links are counted once, edges make a forest. flt is a leader, flts are all leaders of a member."""
 
     def __init__(self, table: pa.Table, cosine: float):
         self.cid = table["cid"].to_numpy()
@@ -250,16 +306,16 @@ def verified(members: DataFrame, cosine: float) -> DataFrame:
                 change = np.flatnonzero(np.any([k != v for k, v in zip(keys, last, strict=True)], axis=0))
             else:
                 change = np.array([0])
-            length = last[0] >> 40 if held else -1
+            length = held[-1]["dim"][-1].as_py() if held else -1
             # a run ends with a cell, when it is long enough or vectors of another length follow
-            if held and len(change) and (rows >= 20_000 or (int(keys[0][-1]) >> 40) != length):
+            if held and len(change) and (rows >= 20_000 or batch.column("dim")[batch.num_rows - 1].as_py() != length):
                 head = int(change[0])
                 if head:
                     held.append(pa.Table.from_batches([batch.slice(0, head)]))
                 yield from flush(held)
                 held, rows, batch = [], 0, batch.slice(head)
             start = 0
-            sizes = batch.column("flt").to_numpy() >> 40
+            sizes = batch.column("dim").to_numpy()
             for cut in [*(np.flatnonzero(sizes[1:] != sizes[:-1]) + 1).tolist(), batch.num_rows]:
                 held.append(pa.Table.from_batches([batch.slice(start, cut - start)]))
                 rows += cut - start
@@ -270,31 +326,37 @@ def verified(members: DataFrame, cosine: float) -> DataFrame:
         if held:
             yield from flush(held)
 
-    cells = members.repartition("flt", "ci", "cj").sortWithinPartitions("flt", "ci", "cj", "cid")
+    cells = members.repartition("flt", "ci", "cj").sortWithinPartitions("dim", "flt", "ci", "cj", "cid")
     return cells.mapInArrow(work, "cid long, other long, n long")
 
 
 def _cosine(a: str, b: str):
-    """The cosine of two array columns, in double precision."""
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda u, v: u.cast("double") * v.cast("double")), F.lit(0.0), lambda s, v: s + v)
-    x, y = F.col(a), F.col(b)
-    return dot(x, y) / F.sqrt(dot(x, x)) / F.sqrt(dot(y, y))
+    """The cosine of two array columns, in double precision; both are scaled by their largest component first, so that no square overflows or vanishes."""
+    scaled = lambda c: f"get(transform(array(array_max(transform({c}, v -> abs(CAST(v AS DOUBLE))))), m -> transform({c}, v -> CAST(v AS DOUBLE) / m)), 0)"
+    sums = "aggregate(zip_with(x, y, (u, v) -> struct(u * v AS a, u * u AS b, v * v AS c)), struct(0D AS a, 0D AS b, 0D AS c), (s, z) -> struct(s.a + z.a AS a, s.b + z.b AS b, s.c + z.c AS c), s -> s.a / sqrt(s.b) / sqrt(s.c))"
+    return F.expr(f"get(transform(transform(array(struct({scaled(a)} AS x, {scaled(b)} AS y)), p -> {sums.replace('(x, y,', '(p.x, p.y,')}), c -> c), 0)")
+
+
+#: Members of a hot group that are held against its leader in one task.
+SALT = 200_000
 
 
 def _hot_cells(flat: DataFrame, hot: DataFrame, classes: DataFrame, cosine: float, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(cells, balls) of hot filters: (cid, flt, blk, ci, cj), and (cid, ball) of the members of balls."""
-    members = flat.join(hot.select("flt"), "flt")
-    leaders = members.groupBy("flt").agg(F.min("cid").alias("leader"))
-    asked = members.join(leaders, "flt").select("cid", "leader").distinct()
+    """(cells, balls) of hot leaders: (cid, flt, blk, ci, cj), and (cid, ball) of the members of balls."""
+    members = flat.join(hot.withColumn("salts", F.expr(f"CAST((m - 1) DIV {SALT} + 1 AS INT)")), "flt")
     vectors = classes.select("cid", "embedding")
-    led = vectors.select(F.col("cid").alias("leader"), F.col("embedding").alias("lead"))
+    lead = hot.join(vectors.withColumnRenamed("cid", "flt").withColumnRenamed("embedding", "lead"), "flt")
+    lead = lead.select("flt", "lead", F.explode(F.expr(f"sequence(0, CAST((m - 1) DIV {SALT} AS INT))")).alias("salt"))
     half = math.cos(math.acos(cosine) / 2) + 1e-9
-    close = asked.join(vectors, "cid").join(led, "leader").where(_cosine("embedding", "lead") >= half)
-    balls = scratch.table(close.groupBy("cid").agg(F.min("leader").alias("ball")))
-    held = members.join(balls, "cid", "left").select("cid", "flt", F.coalesce("ball", F.lit(-1)).alias("ball"))
-    parts = held.groupBy("flt", "ball").agg(F.ceil(F.count("*") / CELL).cast("int").alias("parts"))
-    blocks = parts.select("flt", "ball", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"))
-    blocks = blocks.withColumn("blk", F.row_number().over(Window.partitionBy("flt").orderBy("ball", "part")))
+    asked = members.select("cid", "flt", F.expr("CAST(pmod(xxhash64(cid), salts) AS INT)").alias("salt")).join(vectors, "cid")
+    close = asked.join(lead, ["flt", "salt"]).where(_cosine("embedding", "lead") >= half)
+    balls = scratch.table(close.groupBy("cid").agg(F.min("flt").alias("ball")))
+    held = scratch.table(members.drop("salts").join(balls, "cid", "left").select("cid", "flt", F.coalesce("ball", F.lit(-1)).alias("ball"), "m"))
+    block = f"least({max(CELL, CELL_MOST)}, {CELL} * greatest(1, sqrt(max(m) / {CELL}) / 2))"
+    parts = held.groupBy("flt", "ball").agg(F.expr(f"CAST(ceil(count(*) / {block}) AS INT) AS parts"))
+    blocks = parts.select("flt", "ball", "parts", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"))
+    blocks = scratch.table(blocks.withColumn("blk", F.row_number().over(Window.partitionBy("flt").orderBy("ball", "part"))))
+    parts, blocks = blocks.where("part = 0").select("flt", "ball", "parts"), blocks.drop("parts")
     a = blocks.select("flt", F.col("ball").alias("ball_a"), F.col("blk").alias("a"))
     b = blocks.select("flt", F.col("ball").alias("ball_b"), F.col("blk").alias("b"))
     pairs = a.join(b, "flt").where("a <= b AND (ball_a <> ball_b OR ball_a < 0)")
@@ -304,48 +366,60 @@ def _hot_cells(flat: DataFrame, hot: DataFrame, classes: DataFrame, cosine: floa
     return placed.join(blocks, ["flt", "ball", "part"]).join(sides, ["flt", "blk"]).select("cid", "flt", "blk", "ci", "cj"), balls
 
 
+def _same_vector() -> list:
+    """Two longs, 128 bits of hashes of the embedding, which name its class."""
+    return [F.xxhash64(F.lit(1), "embedding"), F.xxhash64(F.lit(2), "embedding")]
+
+
 def near_vectors(table: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", cosine: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row.
 
     Null and empty vectors, those of norm zero and those with null or non-finite components link with nothing, nor do
-    vectors of different length. Equal vectors and repeated rows link with each other. Null ids count only if a
-    component has no other. Other columns are not read.
+    vectors of different length. Components of any finite size are taken, as floats or doubles. Equal vectors and repeated rows link with each
+    other. Null ids count only if a component has no other. Other columns are not read.
     """
     scratch = Scratch(table.sparkSession, "embeddings")
     e = F.col("embedding")
     good = (F.size(e) > 0) & F.forall(e, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))) & F.exists(e, lambda v: v != 0)
     rows = table.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("embedding"))
+    k1, k2 = _same_vector()
     fit = rows.where(e.isNotNull() & good)
     classes = fit.groupBy("embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("weight"))
-    classes = scratch.table(classes.withColumn("cid", F.monotonically_increasing_id()))
-    listed = scratch.table(entries(classes))
+    classes = scratch.table(classes.withColumn("cid", F.monotonically_increasing_id()).withColumn("k1", k1).withColumn("k2", k2))
+    listed = scratch.table(leaders(classes, classes.count()))
     flat = listed.select("cid", F.explode("flts").alias("flt"))
-    met = flat.groupBy("flt").agg(F.count("*").alias("m")).where("m > 1")
-    hot = scratch.table(met.where(f"m > {CELL}"))
+    hot = scratch.table(flat.groupBy("flt").agg(F.count("*").alias("m")).where(f"m > {CELL}"))
     zero = F.lit(0)
-    cells = flat.join(met.where(f"m <= {CELL}"), "flt").select("cid", "flt", zero.alias("blk"), zero.alias("ci"), zero.alias("cj"))
+    cells = flat.select("cid", "flt", zero.alias("blk"), zero.alias("ci"), zero.alias("cj"))
     members = listed.join(classes.select("cid", "weight", "embedding"), "cid").withColumn("ball", F.lit(-1).cast("long"))
     balls = None
     if not hot.isEmpty():
         split, balls = _hot_cells(flat, hot, classes, cosine, scratch)
-        cells = cells.unionByName(split)
+        cells = cells.join(hot, "flt", "left_anti").unionByName(split)
         members = members.drop("ball").join(balls, "cid", "left").withColumn("ball", F.coalesce("ball", F.lit(-1)))
-    members = cells.join(members, "cid").select("cid", "flt", "ci", "cj", "blk", "ball", "weight", "flts", "embedding")
+        members = cells.join(members, "cid")
+    else:
+        # each member goes to its leaders, and its embedding is joined once
+        members = members.withColumn("flt", F.explode("flts")).withColumn("blk", zero).withColumn("ci", zero).withColumn("cj", zero)
+    members = members.select("cid", "flt", "ci", "cj", "blk", "ball", "weight", F.size("embedding").alias("dim"), "flts", "embedding")
     found = scratch.table(verified(members, cosine))
     counts = found.where("cid = other").select("cid", "n")
     edges = found.where("cid <> other").select(F.col("cid").alias("a"), F.col("other").alias("b"))
+    nodes = classes.select("cid", "k1", "k2", "weight", "least").withColumn("node", F.col("cid"))
     if balls is not None:
-        own = balls.join(classes.select("cid", "weight"), "cid")
-        sizes = own.groupBy("ball").agg(F.sum("weight").alias("size"))
-        counts = counts.unionByName(own.join(sizes, "ball").select("cid", (F.col("size") - F.col("weight")).alias("n")))
-        edges = edges.unionByName(balls.select(F.col("cid").alias("a"), F.col("ball").alias("b")))
+        # a ball is one node: its members take its place in the links, so that no node has as many links as a ball has members
+        for end in ("a", "b"):
+            edges = edges.join(balls.select(F.col("cid").alias(end), "ball"), end, "left").withColumn(end, F.coalesce("ball", end)).drop("ball")
+        nodes = nodes.drop("node").join(balls, "cid", "left").withColumn("node", F.coalesce("ball", "cid"))
+        sizes = nodes.where("ball IS NOT NULL").groupBy("ball").agg(F.sum("weight").alias("size"))
+        counts = counts.unionByName(nodes.join(sizes, "ball").select("cid", (F.col("size") - F.col("weight")).alias("n")))
     counts = counts.groupBy("cid").agg(F.sum("n").alias("n"))
-    comps = components(edges, scratch)
-    named = classes.join(comps.withColumnRenamed("id", "cid"), "cid", "left").join(counts, "cid", "left")
-    named = named.withColumn("component", F.coalesce("component", "cid"))
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "component").select("embedding", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
-    linked = fit.join(named, "embedding").select("vec_id", "n_links", "component_id")
+    comps = components(edges, scratch).withColumnRenamed("id", "node")
+    nodes = nodes.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
+    own = nodes.join(least, "component").join(counts, "cid", "left")
+    own = own.select("k1", "k2", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
+    linked = fit.select("vec_id", k1.alias("k1"), k2.alias("k2")).join(own, ["k1", "k2"]).select("vec_id", "n_links", "component_id")
     lone = rows.where(e.isNull() | ~good).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(lone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 

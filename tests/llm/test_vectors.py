@@ -68,6 +68,43 @@ def test_a_dense_group_in_split_buckets(spark, monkeypatch, spread):
     check(spark, list(enumerate(vectors + vectors[:5])))
 
 
+@pytest.mark.parametrize("scale", [1e-300, 1e-200, 1.0, 1e200, 1e300])
+@pytest.mark.parametrize("cell", [512, 30])
+def test_doubles_of_extreme_scale(spark, monkeypatch, scale, cell):
+    draw = np.random.default_rng(7)
+    monkeypatch.setattr(embedding_dedup, "CELL", cell)
+    vectors = [[x * scale for x in v] for v in cloud(draw, 24, 1, 90, 0.05) + cloud(draw, 24, 1, 60, 0.2) + cloud(draw, 24, 20, 1, 0)]
+    vectors += [[-0.0, *vectors[0][1:]], [0.0, *vectors[0][1:]]]
+    rows = list(enumerate(vectors))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in embedding_dedup.digest(df).collect())
+    assert got == sorted(brute([(i, [x / scale for x in v]) for i, v in rows]))
+
+
+def test_code_grows_with_the_table():
+    draw = np.random.default_rng(4)
+    u = draw.standard_normal((4000, 64))
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    e = draw.standard_normal((4000, 64))
+    e -= (e * u).sum(1, keepdims=True) * u
+    e /= np.linalg.norm(e, axis=1, keepdims=True)
+    w = 0.95 * u + np.sqrt(1 - 0.95**2) * e
+    for many in (500, 50_000, 1_000_000):
+        words = embedding_dedup.words_for(many)
+        a, b = (np.stack(embedding_dedup.decode(v, words)) for v in (u, w))
+        met = np.unique(np.concatenate((np.unique(a, axis=1), np.unique(b, axis=1)), axis=1), axis=1, return_counts=True)
+        assert len(np.unique(met[0][0][met[1] > 1])) >= 3994
+        # pairs of random vectors that share a filter, at the size the code is made for: a few for each vector
+        m = np.unique(a[1], return_counts=True)[1].astype(float)
+        assert (m * (m - 1)).sum() / 4000**2 * many < 12
+
+
+def test_equal_vectors_in_number(spark):
+    draw = np.random.default_rng(8)
+    v = cloud(draw, 16, 3, 3, 0.1)
+    check(spark, [(i, v[0]) for i in range(700)] + [(700 + i, x) for i, x in enumerate(v)] + [(None, v[0])] * 5, 5)
+
+
 def test_recall_of_filters():
     draw = np.random.default_rng(3)
     for dim in (16, 64, 200):
