@@ -30,14 +30,13 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
 
 
 class Encoder:
-    """Ids of texts, by the tokenizers library, without special tokens."""
+    """Ids of texts, by the tokenizers library with add_special_tokens=False: a special token that a text spells out is that token's id."""
 
     def __init__(self, path: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path or vocabulary())
-        self.library.encode_special_tokens = True
         # a token of this vocabulary has one character for each byte
         self.bytes_of = np.zeros(self.library.get_vocab_size(), np.int64)
         for token, i in self.library.get_vocab().items():
