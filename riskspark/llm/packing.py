@@ -3,7 +3,9 @@
 Each partition packs its pieces by best-fit decreasing and holds its number of bins against the largest lower bound
 of a family of dual feasible functions. Where the two agree the packing is optimal for that partition and is settled. Where
 bins are left over, the partition keeps its full bins and gives up the documents of the others; those are exchanged
-among all partitions with such gaps and packed again, until none is left or a round wins nothing.
+among all partitions with such gaps and packed again, until none is left. What is left after ROUNDS, or in one partition, which has no
+other to exchange with, is packed a second time, bins filled exactly where sums allow; the better packing stands, and its pieces tell by
+`certified` whether it meets the bound.
 """
 
 from __future__ import annotations
@@ -76,6 +78,64 @@ def best_fit(sizes: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, n
     return bins, offsets, left
 
 
+def exact_fill(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
+    """The bin of each size: every bin starts with the largest size left, and others are added whose sum comes closest to what remains."""
+    held: dict[int, list[int]] = {}
+    for at, size in enumerate(sizes.tolist()):
+        held.setdefault(size, []).append(at)
+    out, n, order = np.empty(len(sizes), np.int64), 0, sorted(held, reverse=True)
+    while order:
+        first = order[0]
+        target, take = capacity - first, [first]
+        # sums[k] has the bits of all sums of the first k sizes tried
+        sums, tried, within = [1], [], (1 << (target + 1)) - 1
+        for size in order:
+            if size > target:
+                continue
+            for _ in range(min(len(held[size]) - (size == first), target // size)):
+                after = (sums[-1] | (sums[-1] << size)) & within
+                if after == sums[-1]:
+                    break
+                sums.append(after)
+                tried.append(size)
+            if sums[-1] >> target:
+                break
+        rest = sums[-1].bit_length() - 1
+        for k in range(len(tried) - 1, -1, -1):
+            if not (sums[k] >> rest) & 1:
+                take.append(tried[k])
+                rest -= tried[k]
+        for size in take:
+            out[held[size].pop()] = n
+        n += 1
+        order = [s for s in order if held[s]] if any(not held[s] for s in take) else order
+    return out
+
+
+#: Bins that are packed a second time.
+AGAIN = 4000
+
+
+def refit(sizes: np.ndarray, bins: np.ndarray, left: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bin, offset, room) with the emptiest bins, and as many full ones of many pieces, filled anew; as before where that saves none."""
+    n = len(left)
+    many = np.bincount(bins, minlength=n)
+    chosen = np.lexsort((-many, -left))[: min(AGAIN, max(64, 2 * int((left > 0).sum())))]
+    own = np.flatnonzero(np.isin(bins, chosen))
+    again = exact_fill(sizes[own], capacity)
+    if again.max(initial=-1) + 1 < len(chosen):
+        names = np.concatenate((chosen, [n]))
+        bins = bins.copy()
+        bins[own] = names[again]
+    used, bins = np.unique(bins, return_inverse=True)
+    by = np.argsort(bins, kind="stable")
+    ends = np.cumsum(sizes[by])
+    starts = np.concatenate(([True], bins[by][1:] != bins[by][:-1]))[: len(by)]
+    offsets = np.empty(len(sizes), np.int64)
+    offsets[by] = ends - sizes[by] - np.repeat((ends - sizes[by])[starts], np.bincount(bins))
+    return bins, offsets, capacity - np.bincount(bins, sizes, len(used)).astype(np.int64)
+
+
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The pieces of every row: longer documents are cut into capacity tokens, the first piece takes the remainder."""
     path = path or vocabulary()
@@ -106,7 +166,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, t
 
 
 def _round(rows: DataFrame, nth: int, last: bool, capacity: int) -> DataFrame:
-    """Pack each partition; settled is false for what it gives up."""
+    """Pack each partition; settled is false for what it gives up, certified is true where the bins meet the bound."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -116,41 +176,45 @@ def _round(rows: DataFrame, nth: int, last: bool, capacity: int) -> DataFrame:
             return
         sizes = table["length"].to_numpy().astype(np.int64)
         bins, offsets, left = best_fit(sizes, capacity)
+        bound = lower_bound(sizes, capacity)
         settled = np.ones(len(sizes), bool)
-        if not last and len(left) > lower_bound(sizes, capacity):
+        if len(left) > bound and last:
+            bins, offsets, left = refit(sizes, bins, left, capacity)
+        elif len(left) > bound:
             settled = (left == 0)[bins]
+        # full bins that a partition keeps while it gives up others have no gap either
+        certified = np.full(len(sizes), len(left) == bound) | ~settled | (left == 0)[bins]
         base = (nth << 56) | (TaskContext.get().partitionId() << 28)
-        out = table.append_column("sequence_id", pa.array(base + bins)).append_column("offset", pa.array(offsets)).append_column("settled", pa.array(settled))
+        out = table.append_column("sequence_id", pa.array(base + bins)).append_column("offset", pa.array(offsets)).append_column("settled", pa.array(settled)).append_column("certified", pa.array(certified))
         yield from out.to_batches(50_000)
 
-    return rows.mapInArrow(run, f"{PIECE}, sequence_id long, offset long, settled boolean")
+    return rows.mapInArrow(run, f"{PIECE}, sequence_id long, offset long, settled boolean, certified boolean")
 
 
 def pack(rows: DataFrame, capacity: int = CAPACITY, per_task: int = PER_TASK, rounds: int = ROUNDS) -> DataFrame:
-    """rows (as pieces() gives them, lengths 1 to capacity) with sequence_id and offset."""
+    """rows (as pieces() gives them, lengths 1 to capacity) with sequence_id, offset and certified.
+
+    A sequence is certified if it is full or if the partition that it was settled in has as few bins as any packing of its pieces.
+    """
     scratch = Scratch(rows.sparkSession, "packing")
-    rows = scratch.table(rows)
+    # every row has a number of its own to be dealt by, whatever its id
+    rows = scratch.table(rows.withColumn("nth", F.monotonically_increasing_id()))
     cols = [c.strip().split(" ")[0] for c in PIECE.split(",")]
     whole = rows.where(f"length = {capacity}").select(
-        *cols, (F.lit(1 << 62) + F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
+        *cols, (F.lit(1 << 62) + F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(True).alias("certified")
     )
-    done, open_ = [whole], rows.where(f"length < {capacity}").select(*cols)
+    done, open_ = [whole], rows.where(f"length < {capacity}").select(*cols, "nth")
     before = open_.count()
     for nth in range(rounds):
         if not before:
             break
-        last = nth == rounds - 1
-        # what is left over is less each time, so that a task may hold twice as many
+        # what is left over is less each time, so that a task may hold twice as many; one partition has no other to exchange with
         tasks = -(-before // (per_task << nth))
-        state = scratch.table(_round(open_.repartition(tasks, "doc_id", "piece"), nth, last, capacity))
-        done.append(state.where("settled").select(*cols, "sequence_id", "offset"))
-        open_ = state.where("NOT settled").select(*cols)
-        left = open_.count()
-        if left and tasks == 1:
-            # the one partition has no other to exchange with: its packing stands
-            done[-1] = state.select(*cols, "sequence_id", "offset")
-            break
-        before = left
+        last = nth == rounds - 1 or tasks == 1
+        state = scratch.table(_round(open_.repartition(tasks, "nth").drop("nth"), nth, last, capacity))
+        done.append(state.where("settled").select(*cols, "sequence_id", "offset", "certified"))
+        open_ = state.where("NOT settled").select(*cols, F.monotonically_increasing_id().alias("nth"))
+        before = 0 if last else open_.count()
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
@@ -158,7 +222,7 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, per_task: int = PER_TASK, ro
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset, certified.
 
     Null and empty texts are one piece of the end id; repeated rows are packed each; a null id stays null; an empty
     table gives an empty result; other columns are not read.
