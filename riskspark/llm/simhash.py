@@ -4,7 +4,8 @@ Fingerprints within LIMIT bits of each other agree on at least one of LIMIT + 1
 built for each block, with that block rotated to its root, and only node pairs on the diagonal below the root
 block are walked: pairs of nodes are split together, bit by bit, each differing bit is charged to the pair, and
 a pair whose charge exceeds LIMIT is dropped with all that lies under it. The tries are dealt out by block value, so no
-fingerprint meets more of the others than share a block with it. Copies of one fingerprint are one leaf.
+fingerprint meets more of the others than share a block with it. A cell, a block value, of more than CELL fingerprints is split by the same
+rule: what is left of the bits falls into LIMIT + 1 blocks again, of which a linked pair shares one. Copies of one fingerprint are one leaf.
 """
 
 from __future__ import annotations
@@ -24,6 +25,10 @@ SEED = 42
 LIMIT = 4
 #: Node pairs that a walk holds at once.
 PAIRS = 400_000
+#: Fingerprints of a cell that is walked whole, and the shared bits beyond which cells are not split further.
+CELL, DEEP = 1 << 18, 44
+#: Shingles hashed at once.
+HASHED = 1 << 16
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -38,13 +43,12 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     if len(words) <= shingle:
         return int.from_bytes(h(whole, seed), "big")
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    starts = np.concatenate(([0], ends[:-1]))[: len(words) - shingle + 1].tolist()
-    digests = b"".join([h(whole[a:b], seed) for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist())])
-    bits = np.unpackbits(np.frombuffer(digests, np.uint8)).reshape(-1, 64)
+    starts, stops = np.concatenate(([0], ends[:-1]))[: len(words) - shingle + 1], ends[shingle - 1 :] - 1
     ones = np.zeros(64, np.int64)
-    for at in range(0, len(bits), 1 << 16):
-        ones += bits[at : at + (1 << 16)].sum(0, dtype=np.uint32)
-    return int.from_bytes(np.packbits(2 * ones > len(bits)).tobytes(), "big")
+    for at in range(0, len(starts), HASHED):
+        digests = b"".join([h(whole[a:b], seed) for a, b in zip(starts[at : at + HASHED].tolist(), stops[at : at + HASHED].tolist())])
+        ones += np.unpackbits(np.frombuffer(digests, np.uint8)).reshape(-1, 64).sum(0, dtype=np.uint32)
+    return int.from_bytes(np.packbits(2 * ones > len(starts)).tobytes(), "big")
 
 
 def fingerprint_column(text, shingle: int = SHINGLE, seed: int = SEED):
@@ -59,10 +63,10 @@ def fingerprint_column(text, shingle: int = SHINGLE, seed: int = SEED):
     return of(text)
 
 
-def block_widths(limit: int) -> list[int]:
-    """Widths of limit + 1 blocks of the 64 bits, as even as can be."""
+def block_widths(limit: int, bits: int = 64) -> list[int]:
+    """Widths of limit + 1 blocks of so many bits, as even as can be."""
     k = limit + 1
-    return [64 // k + (i < 64 % k) for i in range(k)]
+    return [bits // k + (i < bits % k) for i in range(k)]
 
 
 def _bits(x: np.ndarray) -> np.ndarray:
@@ -154,36 +158,69 @@ def linked(keys: np.ndarray, root: int, limit: int) -> np.ndarray:
     return label
 
 
-def links(fps: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """(a, b): a spanning forest, for each trie, of the pairs of distinct fingerprints (column fp) within limit bits."""
-    widths = block_widths(limit)
-    offsets = np.concatenate(([0], np.cumsum(widths)))[:-1].tolist()
-    turned = "array(" + ", ".join(
-        f"struct({r} AS rot, {f'(fp << {o}) | shiftrightunsigned(fp, {64 - o})' if o else 'fp'} AS key, {w} AS w)"
-        for r, (o, w) in enumerate(zip(offsets, widths, strict=True))
-    ) + ")"
-    dealt = fps.selectExpr(f"inline({turned})").selectExpr("rot", "key", "shiftrightunsigned(key, 64 - w) AS cell")
-    dealt = dealt.repartition("rot", "cell").select("rot", "key")
+def _turned(rows: DataFrame, shared: int, limit: int) -> DataFrame:
+    """rows (fp, path, key, w = shared) once for each block of the bits after the first shared ones, with that block next to them."""
+    rest = 64 - shared
+    widths = block_widths(limit, rest)
+    low, high = (1 << rest) - 1, ~((1 << rest) - 1)
+    turns, o = [], 0
+    for nth, w in enumerate(widths):
+        turned = f"(key & {high}L) | (((shiftleft(key & {low}L, {o}) | shiftrightunsigned(key & {low}L, {rest - o}))) & {low}L)" if o else "key"
+        if o and not shared:
+            turned = f"shiftleft(key, {o}) | shiftrightunsigned(key, {rest - o})"
+        turns.append(f"struct(path * {limit + 2} + {nth + 1} AS path, {turned} AS key, {shared + w} AS w)")
+        o += w
+    return rows.select("fp", F.expr(f"inline(array({', '.join(turns)}))"))
+
+
+def links(fps: DataFrame, limit: int = LIMIT, scratch: Scratch | None = None) -> DataFrame:
+    """(a, b): a spanning forest, for each trie, of the pairs of distinct fingerprints (column fp) within limit bits.
+
+    Every linked pair shares a cell at each depth of splitting, since limit differing bits leave one of limit + 1 blocks alike.
+    """
+    scratch = scratch or Scratch(fps.sparkSession, "simhash")
+    open_, depths, done = fps.select("fp", F.lit(0).cast("long").alias("path"), F.col("fp").alias("key"), F.lit(0).alias("w")), [0], []
+    while depths:
+        turned = [_turned(open_.where(f"w = {w}"), w, limit) for w in depths]
+        depths = sorted({w + x for w in depths for x in block_widths(limit, 64 - w)})
+        rows = turned[0]
+        for more in turned[1:]:
+            rows = rows.unionByName(more)
+        rows = rows.withColumn("cell", F.expr("shiftrightunsigned(key, 64 - w)"))
+        # at most one in CELL of the rows: small enough to be sent around
+        hot = rows.where(f"w < {DEEP}").groupBy("path", "cell").agg(F.count("*").alias("n")).where(f"n > {CELL}").select("path", "cell", F.lit(True).alias("hot"))
+        hot = scratch.table(hot)
+        if hot.isEmpty():
+            done.append(rows)
+            break
+        rows = scratch.table(rows.join(hot, ["path", "cell"], "left"))
+        done.append(rows.where("hot IS NULL").drop("hot"))
+        open_ = rows.where("hot").drop("hot", "cell")
+    dealt = done[0]
+    for more in done[1:]:
+        dealt = dealt.unionByName(more)
+    dealt = dealt.repartition("path", "cell").select("path", "w", "key", "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [(np.asarray(b.column(0)), np.asarray(b.column(1))) for b in batches if b.num_rows]
+        got = [[np.asarray(c) for c in b.columns] for b in batches if b.num_rows]
         if not got:
             return
-        rot, key = (np.concatenate(x) for x in zip(*got, strict=True))
-        for r, (o, w) in enumerate(zip(offsets, widths, strict=True)):
-            keys = np.unique(key[rot == r].view(np.uint64))
-            label = linked(keys, w, limit)
+        path, shared, key, fp = (np.concatenate(x) for x in zip(*got, strict=True))
+        by = np.lexsort((key.view(np.uint64), path))
+        edges = np.flatnonzero(np.concatenate(([True], path[by][1:] != path[by][:-1], [True])))
+        for f, z in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            own = by[f:z]
+            keys = key[own].view(np.uint64)
+            label = linked(keys, int(shared[own[0]]), limit)
             child = np.flatnonzero(label != np.arange(len(keys)))
-            back = (keys >> np.uint64(o)) | (keys << np.uint64(64 - o)) if o else keys
-            back = back.view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(back[child]), pa.array(back[label[child]])], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(fp[own[child]]), pa.array(fp[own[label[child]]])], names=["a", "b"])
 
     return dealt.mapInArrow(run, "a long, b long")
 
 
 def _named(classes: DataFrame, limit: int, scratch: Scratch) -> DataFrame:
     """classes, one row for each fingerprint fp, with the component of each, a fingerprint."""
-    comps = components(links(classes.select("fp"), limit), scratch)
+    comps = components(links(classes.select("fp"), limit, scratch), scratch)
     return classes.join(comps.select(F.col("id").alias("fp"), "component"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
 
 
