@@ -17,12 +17,14 @@ SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where spark.checkpoint.dir is unset."""
+    """The folder that driver and executors share; a local one only where spark.checkpoint.dir is unset and they are one process."""
     sc = spark.sparkContext
     folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         at = sc._jsc.sc().getCheckpointDir()
         if at.isEmpty():
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="riskspark-"))
             at = sc._jsc.sc().getCheckpointDir()
         folder = at.get()
@@ -62,7 +64,6 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self.made = 0
-        self.paths: dict[int, str] = {}
         atexit.register(self.clear)
 
     def table(self, df: DataFrame) -> DataFrame:
@@ -71,11 +72,13 @@ class Scratch:
         path = f"{self.root}/{self.made:04d}"
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
+        out._scratch_path = path
         return out
 
     def drop(self, df: DataFrame) -> None:
-        if path := self.paths.pop(id(df), None):
+        """Remove the table that table() has returned as df; other frames are left alone."""
+        path = getattr(df, "_scratch_path", None)
+        if path and path.startswith(f"{self.root}/"):
             self._delete(path)
 
     def free_shuffles(self) -> None:
