@@ -460,6 +460,37 @@ def test_bounds_and_best_fit():
         assert -(-sizes.sum() // 1024) <= packing.lower_bound(sizes)
 
 
+def test_exact_fill_and_second_packing():
+    draw = np.random.default_rng(5)
+    won = 0
+    for n in (0, 1, 40, 300, 900):
+        for low, high in ((1, 1025), (300, 700), (200, 420)):
+            sizes = draw.integers(low, high, n)
+            assert (np.bincount(packing.exact_fill(sizes), sizes, 1) <= 1024).all()
+            bins, _, left = packing.best_fit(sizes)
+            again, offsets, room = packing.refit(sizes, bins, left)
+            assert packing.lower_bound(sizes) <= len(room) <= len(left)
+            won += len(left) - len(room)
+            for b in range(len(room)):
+                own = np.flatnonzero(again == b)
+                own = own[np.argsort(offsets[own])]
+                assert (offsets[own] == np.cumsum(sizes[own]) - sizes[own]).all() and sizes[own].sum() + room[b] == 1024
+    assert won > 0
+
+
+def test_packing_of_rows_without_ids(spark):
+    rows = spark.range(0, 12_000, 1, 3).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "0 AS piece", "0L AS start", "100L + id % 7 AS length", "0L AS ids_crc32")
+    got = packing.pack(rows, per_task=1000)
+    out = got.collect()
+    assert len(out) == 12_000 and all(r.doc_id is None for r in out)
+    fill = {}
+    for r in out:
+        fill[r.sequence_id] = fill.get(r.sequence_id, 0) + r.length
+    assert max(fill.values()) <= 1024
+    # dealt over several tasks, though all rows are alike in id
+    assert len({s >> 28 for s in fill}) > 5
+
+
 def test_packing_exchanges_between_partitions(spark):
     draw = np.random.default_rng(6)
     sizes = draw.integers(300, 700, 3000)
@@ -477,7 +508,6 @@ def library_ids(texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokens.vocabulary())
-    t.encode_special_tokens = True
     return [e.ids for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -554,6 +584,57 @@ def test_sharding_subdivides_a_hot_text(spark):
 # --- all
 
 
+def test_written_shards_hold_every_row_once(spark, docs, tmp_path):
+    rows = [(None, "a", 1), (1, "b", 2), (1, "c", 3), (2, "d", 4), (None, "a", 5), (None, None, 6)] + [(None, "same text " * 30, k) for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(3)
+    sharding.write_shards(df, str(tmp_path / "a"), 4)
+    back = spark.read.parquet(str(tmp_path / "a"))
+    assert ordered((r.doc_id, r.text, r.n) for r in back.collect()) == ordered(rows)
+    sizes = {}
+    for r in back.collect():
+        sizes[r.shard] = sizes.get(r.shard, 0) + len(r.text or "") + 1
+    # rows alike in id and text are split by their own numbers
+    assert len(sizes) == 4 and max(sizes.values()) - min(sizes.values()) <= 2 * 301
+    sharding.write_shards(docs, str(tmp_path / "b"))
+    back = spark.read.parquet(str(tmp_path / "b"))
+    assert ordered(map(str, back.drop("shard").select(docs.columns).collect())) == ordered(map(str, docs.collect()))
+
+
+def test_simhash_splits_hot_cells(spark, monkeypatch):
+    import random
+
+    draw = random.Random(9)
+    monkeypatch.setattr(simhash, "CELL", 30)
+    centres = [draw.getrandbits(64) for _ in range(6)]
+    values = set()
+    for _ in range(900):
+        v = draw.choice(centres)
+        for _ in range(draw.randint(0, 9)):
+            v ^= 1 << draw.randint(0, 63)
+        values.add(v)
+    values |= {centres[0] & ~0xFFFFF | draw.getrandbits(20) for _ in range(200)}
+    signed = [v - (1 << 64) if v >> 63 else v for v in sorted(values)]
+    got = simhash.links(spark.createDataFrame([(v,) for v in signed], "fp long").repartition(3)).collect()
+    root = {v: v for v in signed}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    mask = (1 << 64) - 1
+    for r in got:
+        root[find(r.a)] = find(r.b)
+    own = {v: find(v) for v in signed}
+    root = {v: v for v in signed}
+    for i, x in enumerate(signed):
+        for y in signed[:i]:
+            if ((x ^ y) & mask).bit_count() <= 4:
+                root[find(x)] = find(y)
+    groups = lambda label: sorted(sorted(v for v in signed if label[v] == c) for c in set(label.values()))
+    assert groups(own) == groups({v: find(v) for v in signed})
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op1_embedding_dedup"}))
 def test_empty_tables(name, spark, empty, tmp_path):
     empty.write.parquet(str(tmp_path / "documents.parquet"))
