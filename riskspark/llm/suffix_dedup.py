@@ -58,8 +58,8 @@ def anchors(raw: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.nda
     gram = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,)) * _A
     gram ^= gram >> np.uint64(31)
     gram *= _B
-    bits = np.uint64(int(len(raw)).bit_length())
-    low = (np.uint64(1) << bits) - np.uint64(1)
+    # the hash keeps its upper half and the place takes the lower one, so that a choice depends on the bytes alone and not on the batch
+    low = np.uint64(0xFFFFFFFF)
     best = (gram & ~low) | np.arange(len(gram), dtype=np.uint64)
     k = 1
     while k < WINDOW:
