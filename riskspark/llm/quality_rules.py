@@ -63,7 +63,7 @@ def measure(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_i
     """keep plus the counts that the rules use, one row for each input row.
 
     Null and empty texts have zero words, lines and characters; repeated rows and ids are measured each on
-    its own; other columns, whatever their names, are not read. Three-word windows are compared by 64-bit hash.
+    its own; other columns, whatever their names, are not read. Three-word windows meet by a 64-bit hash and are compared by their words.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     own = [F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)]
@@ -84,7 +84,7 @@ def measure(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_i
                  (h, i) -> struct(h AS h, i AS i))) AS g"""
         ),
     )
-    x = x.withColumn("same", F.expr("zip_with(g, slice(g, 2, size(g)), (x, y) -> coalesce(x.h = y.h, false))"))
+    x = x.withColumn("same", F.expr("zip_with(g, slice(g, 2, size(g)), (x, y) -> coalesce(x.h = y.h AND get(w, x.i) = get(w, y.i) AND get(w, x.i + 1) = get(w, y.i + 1) AND get(w, x.i + 2) = get(w, y.i + 2), false))"))
     x = x.withColumn(
         "at",
         F.expr(
