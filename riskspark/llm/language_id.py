@@ -28,6 +28,8 @@ NEAR = 1e-4
 SHARE = 0.05
 #: Penalty for each language of a set: PENALTY * log(number of n-grams).
 PENALTY = 2.0
+#: The most languages that are learned: a table of so many times BUCKETS numbers is sent to every worker.
+MOST = 1024
 #: n-gram rows times languages of one fit.
 CELLS = 1_500_000
 
@@ -151,7 +153,10 @@ class Model:
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
-    """Counts of all labelled rows; what reaches the driver is one table of languages times BUCKETS."""
+    """Counts of all labelled rows; what reaches the driver is one table of languages times BUCKETS.
+
+    More than MOST labels are refused with an error, before any text is read: such a column does not hold languages.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -171,6 +176,8 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
+    if rows.select("lang").distinct().limit(MOST + 1).count() > MOST:
+        raise ValueError(f"column {lang} has more than {MOST} labels to learn from")
     got = rows.mapInArrow(run, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     names = sorted(set(got["lang"].to_pylist()))
     counts = np.zeros((BUCKETS, len(names)))
