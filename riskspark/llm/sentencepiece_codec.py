@@ -5,7 +5,9 @@ crosses the start of a word; where a model has pieces with a space after other c
 one length advance together: at each place, the hash of every substring that ends there is looked up among the sorted piece
 keys, and the best of score and predecessor is kept as back pointer. The result is the segmentation with the largest sum of
 piece scores, the longest last piece winning ties; bytes that no piece covers are spelled with byte pieces. Words beyond LONG
-bytes are searched one by one, in linear time.
+bytes, such as runs of CJK characters, have all their substrings looked up at once in the same tables, and their places visited in order, in linear time.
+
+The ids are those of the best-scoring segmentation. They are not the library's ids for a model made by merging, whose scores are ranks of merges.
 """
 
 from __future__ import annotations
