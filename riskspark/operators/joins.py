@@ -62,13 +62,15 @@ def as_of(
     days (or months, by unit) bounds how old that row may be. Both sides are laid out by key and time and the last history row is
     carried forward, so a key with many rows costs its rows and not their pairs. A task holds one stretch of time of a key, and the
     last row of the stretches before it is handed in, so a key with a third of all rows is spread. Ties in time go to the largest `tie`.
+    Sample rows without a key or a time see nothing and go round the windows.
     """
     left_key, right_key = key
     left_time, right_time = time
     tie = list(tie)
     payload = F.struct(F.col(right_time).cast("timestamp").alias("t"), *(F.col(v).alias(f"v_{i}") for i, v in enumerate(values)))
     own = F.struct(*(F.col(c).alias(f"c_{i}") for i, c in enumerate(sample.columns)))
-    a = sample.select(F.col(left_key).alias("k"), F.col(left_time).cast("timestamp").alias("t"), F.lit(0 if strict else 1).alias("side"), own.alias("row"))
+    timed = F.col(left_key).isNotNull() & F.col(left_time).cast("timestamp").isNotNull()
+    a = sample.where(timed).select(F.col(left_key).alias("k"), F.col(left_time).cast("timestamp").alias("t"), F.lit(0 if strict else 1).alias("side"), own.alias("row"))
     b = history.where(F.col(right_key).isNotNull() & F.col(right_time).isNotNull()).select(
         F.col(right_key).alias("k"), F.col(right_time).cast("timestamp").alias("t"), F.lit(1 if strict else 0).alias("side"), payload.alias("seen"),
         F.struct(*map(F.col, tie), F.lit(0)).alias("tie"),
@@ -82,11 +84,12 @@ def as_of(
     both = both.join(heads, (F.col("k") == F.col("hk")) & (F.col("stretch") == F.col("hs")), "left")
     w = Window.partitionBy("k", "stretch").orderBy("t", "side", F.asc_nulls_first("tie")).rowsBetween(Window.unboundedPreceding, 0)
     x = both.withColumn("last", F.coalesce(F.last("seen", ignorenulls=True).over(w), "handed")).where("row IS NOT NULL")
-    ok = F.col("k").isNotNull() & F.col("t").isNotNull() & F.col("last").isNotNull()
+    ok = F.col("last").isNotNull()
     if days is not None:
         ok &= distance(F.col("t"), F.col("last.t"), unit) <= days
-    kept = F.when(ok, F.col("last"))
-    return x.withColumn("last", kept).select(
+    kept = x.select("row", F.when(ok, F.col("last")).alias("last"))
+    kept = kept.unionByName(sample.where(~timed).select(own.alias("row")), allowMissingColumns=True)
+    return kept.select(
         *(F.col(f"row.c_{i}").alias(c) for i, c in enumerate(sample.columns)), F.col("last.t").alias(f"{prefix}{right_time}"),
         *(F.col(f"last.v_{i}").alias(f"{prefix}{v}") for i, v in enumerate(values)),
     )

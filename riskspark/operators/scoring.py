@@ -32,7 +32,7 @@ def tree_column(node: Node, features: list[str]) -> Column:
     if node.feature is None:
         return F.lit(node.value)
     x = F.col(features[node.feature])
-    same = x == F.lit(node.threshold) if node.categorical else x <= F.lit(node.threshold)
+    same = x.isin(*map(float, node.categories)) if node.categorical else x <= F.lit(node.threshold)
     # a null goes left where the default says so; for categories the default is turned round
     left = (x.isNull() | same) if node.default_left != node.categorical else same
     return F.when(left, tree_column(node.left, features)).otherwise(tree_column(node.right, features))
@@ -43,16 +43,20 @@ def tree_sql(node: Node, features: list[str]) -> str:
     if node.feature is None:
         return f"CAST('{node.value!r}' AS DOUBLE)"
     name = features[node.feature]
-    test = f"{name} {'=' if node.categorical else '<='} CAST('{node.threshold!r}' AS DOUBLE)"
+    test = f"{name} IN ({', '.join(map(str, node.categories)) or 'NULL'})" if node.categorical else f"{name} <= CAST('{node.threshold!r}' AS DOUBLE)"
     if node.default_left != node.categorical:
         test = f"({name} IS NULL OR {test})"
     return f"CASE WHEN {test} THEN {tree_sql(node.left, features)} ELSE {tree_sql(node.right, features)} END"
 
 
 def tree_scores(df: DataFrame, model: TreeModel) -> DataFrame:
-    """df with the model's features filled and tree_<i>_score for each tree; a few trees for each projection."""
+    """df with the model's features filled and tree_<i>_score for each tree; a few trees for each projection.
+
+    Names meet without regard to case, as in SQL; a filled feature has the model's spelling.
+    """
     used = sorted(model.used(), key=model.features.index)
-    absent = [f for f in used if f not in df.columns]
+    there = {c.lower() for c in df.columns}
+    absent = [f for f in used if f.lower() not in there]
     if absent:
         raise ValueError(f"features not in the input: {absent}")
     x = df.withColumns({f: F.coalesce(F.col(f).cast("double"), F.lit(FILL)) for f in used}) if used else df
@@ -74,8 +78,13 @@ def score(
     df: DataFrame, model: TreeModel, keep: list[str], card: ScoreCard = ScoreCard(), extra: list[str] | None = None, output_variables: bool = False,
     top: int = 0, by_importance: bool = True,
 ) -> DataFrame:
-    """keep, extra, variables (on request, the `top` most important), score, all_null_flag and score_card of every row."""
-    valid = [f for f in model.valid_features() if f in df.columns] or sorted(model.used(), key=model.features.index)
+    """keep, extra, variables (on request, the `top` most important), score, all_null_flag and score_card of every row.
+
+    Models of several classes, or of another objective than a probability, are refused.
+    """
+    steep = model.steepness()
+    there = {c.lower() for c in df.columns}
+    valid = [f for f in model.valid_features() if f.lower() in there] or sorted(model.used(), key=model.features.index)
     shown = []
     if output_variables:
         shown = [f for f, g in model.ranked() if g > 0] if by_importance else list(valid)
@@ -88,7 +97,7 @@ def score(
     fills = [F.col(f) for f in valid]
     empty = (F.least(*fills) == FILL) & (F.greatest(*fills) == FILL) if len(fills) > 1 else fills[0] == FILL if fills else F.lit(False)
     columns = list(dict.fromkeys([*keep, *(extra or []), *shown]))
-    x = x.withColumns({"score": 1 / (1 + F.exp(-raw)), "all_null_flag": F.when(empty, 1).otherwise(0)})
+    x = x.withColumns({"score": 1 / (1 + F.exp(-raw if steep == 1 else raw * F.lit(-steep))), "all_null_flag": F.when(empty, 1).otherwise(0)})
     return x.select(*columns, "score", "all_null_flag", score_card(F.col("score"), F.col("all_null_flag"), card).alias("score_card"))
 
 
@@ -97,7 +106,9 @@ def full_sql(model: TreeModel, table: str, keep: list[str], card: ScoreCard = Sc
     valid = model.valid_features()
     used = sorted(model.used() | set(valid), key=model.features.index)
     filled = ", ".join(f"coalesce(CAST({f} AS DOUBLE), CAST('{FILL!r}' AS DOUBLE)) AS {f}" for f in used)
+    steep = model.steepness()
     trees = " + ".join(f"({tree_sql(t, model.features)})" for t in model.trees) or "0"
+    trees = trees if steep == 1 else f"({trees}) * CAST('{steep!r}' AS DOUBLE)"
     empty = " AND ".join(f"{f} = CAST('{FILL!r}' AS DOUBLE)" for f in valid) or "FALSE"
     names = ", ".join(keep)
     return (

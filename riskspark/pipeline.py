@@ -42,7 +42,7 @@ def planner_config(data: dict) -> planner.Config:
         sample_key=sample.get("key", "apply_no"), biz_date=str(sql.get("biz_date", "")), target_platform=project.get("target_platform", ""), priority=list(data.get("behavior_platform_priority") or []),
         max_join=int(sql.get("max_subquery_join", 3)), strategy=sql.get("subgroup_strategy", "balanced"), fill=sql.get("coalesce_value"), join_types=dict(sql.get("join_types") or {}),
         partition_control=dict(sql.get("partition_control") or {}), time_ranges=ranges, custom=custom, extra_where=dict(data.get("extra_where_conditions") or {}), bridge=bridge,
-        sample_keys=dict(sample.get("keys") or {}), strict=bool(data.get("strict", False)),
+        sample_keys=dict(sample.get("keys") or {}), strict=bool(data.get("strict", False)), cut_every=int(sql.get("cut_every", 0)),
     )
 
 
@@ -82,6 +82,8 @@ class ScoringPipeline:
         c = self.config
         return plan_report.markdown(self.plan(), self.metadata, self.features(), c.get("variable_overrides"), self.model, c.get("blacklist_vars"))
 
-    def save_sql(self, path: str, sample: str, sample_columns: list[str], output: str = "wide_table", scored: str = "scored_table") -> None:
-        wide = wide_sql(self.plan(), self.metadata, sample, sample_columns, self.planner_config)
+    def save_sql(
+        self, path: str, sample: str, sample_columns: list[str], output: str = "wide_table", scored: str = "scored_table", columns_of: dict[str, list[str]] | None = None
+    ) -> None:
+        wide = wide_sql(self.plan(), self.metadata, sample, sample_columns, self.planner_config, columns_of=columns_of)
         save_text(path, create_table(output, wide) + "\n" + create_table(scored, full_sql(self.model, output, self.keep, self.card)))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import tempfile
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
@@ -78,6 +81,8 @@ class Config:
     bridge: CreditBridge | None = None
     sample_keys: dict[str, str] = field(default_factory=dict)
     strict: bool = False
+    #: The wide table is written and read again after so many joined tables; 0: never.
+    cut_every: int = 0
 
     def join_type(self, platform: str, category: str) -> str:
         return self.join_types.get(platform) or self.join_types.get(category) or "left"
@@ -90,6 +95,19 @@ class Config:
                 return {**base, **self.partition_control[level]}
         return dict(base)
 
+    def partition(self, table: str, platform: str, category: str, own: str) -> tuple[str, str, str] | None:
+        """(field, operator, value) that a table's rows are read by, if any; own is the table's partition column.
+
+        A least partition goes before the business date, which holds for tables without a time rule unless the policy is not enabled.
+        """
+        policy = self.partition_policy(table, platform, category)
+        name = policy.get("partition_field", own)
+        if policy.get("min_partition"):
+            return name, ">=", str(policy["min_partition"])
+        if self.biz_date and policy.get("enabled", True) and table not in self.time_ranges:
+            return name, "=", self.biz_date
+        return None
+
     def conditions(self, table: str, platform: str, category: str) -> list[str]:
         """Extra conditions of the first level that has any: table, platform, category."""
         for level, name in (("by_table", table), ("by_platform", platform), ("by_category", category)):
@@ -181,15 +199,12 @@ def scan(resolver: Resolver, metadata: Metadata, table: str, names: tuple[str, .
     """keep and the variables of a table, filtered by partition, extra conditions and the sample's keys, each before any join."""
     t = metadata.tables[table]
     df = resolver(table)
-    policy = config.partition_policy(table, t.platform, t.category)
-    part = policy.get("partition_field", t.partition)
     kinds = dict(df.dtypes)
-    if part in kinds:
-        typed = lambda v: F.lit(v).cast(kinds[part])
-        if policy.get("min_partition"):
-            df = df.where(F.col(part) >= typed(policy["min_partition"]))
-        elif policy.get("enabled", bool(config.biz_date)) and config.biz_date and table not in config.time_ranges:
-            df = df.where(F.col(part) == typed(config.biz_date))
+    read = config.partition(table, t.platform, t.category, t.partition)
+    if read and read[0] in kinds:
+        name, test, value = read
+        value = F.lit(value).cast(kinds[name])
+        df = df.where(F.col(name) >= value if test == ">=" else F.col(name) == value)
     for text in config.conditions(table, t.platform, t.category):
         df = df.where(F.expr(text))
     custom = config.custom.get(table, CustomJoin())
@@ -200,11 +215,14 @@ def scan(resolver: Resolver, metadata: Metadata, table: str, names: tuple[str, .
     return df.select(*columns)
 
 
-def lower(plan: Plan, metadata: Metadata, sample: DataFrame, resolver: Resolver, config: Config) -> DataFrame:
+def lower(plan: Plan, metadata: Metadata, sample: DataFrame, resolver: Resolver, config: Config, cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """sample.* and all variables of the plan, one row for each sample row where tables are unique by their key or deduplicated.
 
-    A variable that the sample, or a table before, already has under its name is called <group>_<variable>.
+    A variable that the sample, or a table before, already has under its name is called <group>_<variable>. With config.cut_every the
+    table is written and read again after so many joins, by `cut` or below the shared folder: a plan of hundreds of joins takes long to
+    optimise, and a lost executor would cost all of them.
     """
+    cut, joined = cut or (Cuts(sample.sparkSession) if config.cut_every else None), 0
     out = sample
     bridge = _bridge(sample, resolver, config) if config.bridge and any(g.category == rules.CREDIT for g in plan.groups) else None
     if bridge is not None:
@@ -213,8 +231,11 @@ def lower(plan: Plan, metadata: Metadata, sample: DataFrame, resolver: Resolver,
     for group in plan.groups:
         for table, names in group.tables.items():
             fresh = {n: (n if n not in taken else f"{group.name}_{n}") for n in names}
+            if config.cut_every and joined and joined % config.cut_every == 0:
+                out = cut(out)
             out = _join(out, sample, table, names, fresh, group, metadata, resolver, config)
             taken |= set(fresh.values())
+            joined += 1
     if config.fill is not None:
         added = [c for c in out.columns if c not in sample.columns]
         kinds = dict(out.dtypes)
@@ -283,10 +304,35 @@ def _join(out, sample, table, names, fresh, group, metadata, resolver, config) -
     return joins.keyed(out, side, on, variables, how)
 
 
+class Cuts:
+    """Writes tables below a folder, spark.checkpoint.dir unless one is given, and reads them again; they go with clear() or at exit."""
+
+    def __init__(self, spark, folder: str = ""):
+        conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+        if not (folder or conf):
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+            folder = tempfile.mkdtemp(prefix="riskspark-")
+        self.spark, self.made = spark, 0
+        self.root = f"{(folder or conf).rstrip('/')}/wide-{uuid.uuid4().hex}"
+        atexit.register(self.clear)
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        self.made += 1
+        return materialise(df, f"{self.root}/{self.made:04d}")
+
+    def clear(self) -> None:
+        try:
+            at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+            at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        except Exception:  # noqa: BLE001  the session may have ended before
+            pass
+
+
 def materialise(df: DataFrame, path: str) -> DataFrame:
     """Write and read again: a wide table is cut here where its plan grows long."""
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def catalog(spark, paths: dict[str, str] | None = None, platform_alias: str = "") -> Resolver:

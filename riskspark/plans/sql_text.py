@@ -28,9 +28,19 @@ def _bridge(sample: str, config: Config, kind: str) -> str:
     )
 
 
-def wide_sql(plan: Plan, metadata: Metadata, sample: str, sample_columns: list[str], config: Config, kinds: dict[str, str] | None = None) -> str:
-    """One statement: sample.* and the plan's variables. kinds names columns whose type is date; others are read as text."""
-    kinds = kinds or {}
+JOINS = {"left": "LEFT JOIN", "inner": "JOIN", "right": "RIGHT JOIN", "full": "FULL JOIN", "outer": "FULL JOIN"}
+
+
+def wide_sql(
+    plan: Plan, metadata: Metadata, sample: str, sample_columns: list[str], config: Config, kinds: dict[str, str] | None = None,
+    columns_of: dict[str, list[str]] | None = None,
+) -> str:
+    """One statement: sample.* and the plan's variables. kinds names columns whose type is date; others are read as text.
+
+    Tables are read by the partition that lower() reads them by; columns_of names the columns of tables, as far as known, and one that lacks
+    its partition column is read whole, as lower() does.
+    """
+    kinds, columns_of = kinds or {}, columns_of or {}
     bridged = config.bridge is not None and any(g.category == rules.CREDIT for g in plan.groups)
     heads = [_bridge(sample, config, kinds.get(config.bridge.sample_time, ""))] if bridged else []
     base, taken, at = ("bridge" if bridged else sample), set(sample_columns), 0
@@ -43,12 +53,9 @@ def wide_sql(plan: Plan, metadata: Metadata, sample: str, sample_columns: list[s
             credit = bridged and t.category == rules.CREDIT
             sample_key = config.bridge.report if credit else custom.sample_key or config.sample_keys.get(key) or (key if key in sample_columns else config.sample_key)
             where = list(config.conditions(table, t.platform, t.category))
-            policy = config.partition_policy(table, t.platform, t.category)
-            part = policy.get("partition_field", t.partition)
-            if policy.get("min_partition"):
-                where.insert(0, f"{part} >= '{policy['min_partition']}'")
-            elif policy.get("enabled", False) and config.biz_date and rule is None:
-                where.insert(0, f"{part} = '{config.biz_date}'")
+            read = config.partition(table, t.platform, t.category, t.partition)
+            if read and read[0] in columns_of.get(table, read):
+                where.insert(0, f"{read[0]} {read[1]} '{read[2]}'")
             if not credit and not custom.md5 and not custom.on:
                 where.append(f"{key} IN (SELECT {sample_key} FROM {sample})")
             own_key = f"md5(CAST({key} AS STRING))" if custom.md5 else key
@@ -56,7 +63,10 @@ def wide_sql(plan: Plan, metadata: Metadata, sample: str, sample_columns: list[s
             times = [x for x in (custom.time_field if custom.sample_time else "", rule.time_field if rule else "") if x]
             columns += [f"{x} AS _time" for x in times[:1]] + [f"{x} AS _tie_{x}" for x in (rule.tie if rule else ())]
             source = f"(SELECT {', '.join(columns)} FROM {table}" + (f" WHERE {' AND '.join(where)}" if where else "") + ")"
-            how = {"left": "LEFT JOIN", "inner": "JOIN"}[config.join_type(t.platform, t.category)]
+            how = config.join_type(t.platform, t.category).lower()
+            if how not in JOINS:
+                raise ValueError(f"join type {how} of {table} is none of {', '.join(JOINS)}")
+            how = JOINS[how]
             on = [f"t{at}._key = s.{sample_key}"]
             if custom.on:
                 on = [custom.on.replace("t.", f"t{at}.")]

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from ..operators import joins
 from ..plans import metadata as md
 from ..plans import planner, rules
+from ..plans.sql_text import wide_sql
 from .common import query, rounded, table
 
 
@@ -90,10 +93,10 @@ def metadata() -> md.Metadata:
 
 def _wide(spark, sf_dir):
     o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    sample = o.where("o_orderkey % 3 = 0").select(
+    sample = o.select(
         F.col("o_orderkey").alias("apply_no"), F.col("o_custkey").alias("cust_no"), F.md5(F.col("o_custkey").cast("string")).alias("cert_no"), F.date_format("o_orderdate", "yyyyMMdd").alias("issue_time")
     )
-    history = o.where("o_orderkey % 3 <> 0")
+    history = o
     frames = {
         "wdyy.t_ccr_customer": c.select(F.col("c_custkey").alias("cust_no"), F.col("c_acctbal").alias("acctbal"), F.col("c_mktsegment").alias("segment"), F.lit("20240101").alias("dt")),
         "ads.ads_risk_month": history.groupBy(F.col("o_custkey").alias("cust_no"), F.date_format("o_orderdate", "yyyyMM").alias("part_id")).agg(F.sum("o_totalprice").alias("spent")),
@@ -118,20 +121,50 @@ def _wide(spark, sf_dir):
 WIDE = ["segment", "spent", "last_price", "n_day", "near_price", "nowhere"]
 
 
-@query("wide_table", """WITH s AS (SELECT o_orderkey AS apply_no, o_custkey AS cust_no, CAST(o_orderdate AS DATE) AS issue FROM orders WHERE o_orderkey % 3 = 0), h AS (SELECT *, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderkey % 3 <> 0),
+WIDE_SQL = """WITH s AS (SELECT o_orderkey AS apply_no, o_custkey AS cust_no, CAST(o_orderdate AS DATE) AS issue FROM orders), h AS (SELECT *, CAST(o_orderdate AS DATE) AS d FROM orders),
 m AS (SELECT o_custkey, strftime(d, '%Y%m') AS m, sum(o_totalprice) AS spent FROM h GROUP BY 1, 2), v AS (SELECT o_custkey, d, count(*) AS n_day FROM h GROUP BY 1, 2),
 r AS (SELECT apply_no, h.o_totalprice AS last_price, row_number() OVER (PARTITION BY apply_no ORDER BY h.o_orderdate DESC NULLS LAST, CAST(h.o_orderkey AS VARCHAR) DESC) AS n FROM s LEFT JOIN h ON h.o_custkey = s.cust_no AND h.o_orderdate <= issue AND date_diff('day', h.d, issue) <= 90),
 x AS (SELECT apply_no, h.o_totalprice AS near_price, row_number() OVER (PARTITION BY apply_no ORDER BY h.d DESC NULLS LAST, h.o_orderkey DESC) AS n FROM s LEFT JOIN h ON h.o_custkey = s.cust_no AND h.d <= issue AND date_diff('day', h.d, issue) <= 30 AND h.o_totalprice > 1000)
 SELECT apply_no, cust_no, c_mktsegment AS segment, round(spent, 2) AS spent, last_price, n_day, near_price FROM s LEFT JOIN customer ON c_custkey = cust_no
 LEFT JOIN m ON m.o_custkey = cust_no AND strftime(strptime(m.m || '01', '%Y%m%d') + INTERVAL 1 MONTH, '%Y%m') = strftime(issue, '%Y%m') LEFT JOIN v ON v.o_custkey = cust_no AND v.d = issue - 2
-JOIN r USING (apply_no) JOIN x USING (apply_no) WHERE r.n = 1 AND x.n = 1""")
-def wide_table(spark, sf_dir):
+JOIN r USING (apply_no) JOIN x USING (apply_no) WHERE r.n = 1 AND x.n = 1"""
+
+
+def _wide_table(spark, sf_dir, cut_every=0):
     sample, frames, config = _wide(spark, sf_dir)
+    config.cut_every = cut_every
     meta = metadata()
     wide = planner.lower(planner.plan(meta, WIDE, config), meta, sample, planner.from_frames(frames), config)
     return rounded(wide.select("apply_no", "cust_no", "segment", "spent", "last_price", "n_day", "near_price"), 2)
 
 
+@query("wide_table", WIDE_SQL)
+def wide_table(spark, sf_dir):
+    return _wide_table(spark, sf_dir)
+
+
+@query("wide_table_cut", WIDE_SQL)
+def wide_table_cut(spark, sf_dir):
+    """The same, written and read again after every two joined tables."""
+    return _wide_table(spark, sf_dir, 2)
+
+
+@query("wide_table_as_sql", WIDE_SQL)
+def wide_table_as_sql(spark, sf_dir):
+    """The same from the plan's SQL text, over views of the same tables."""
+    sample, frames, config = _wide(spark, sf_dir)
+    meta, names = metadata(), {}
+    sample.createOrReplaceTempView("wide_sample")
+    for name, frame in frames.items():
+        names[name] = "wide_" + name.replace(".", "_")
+        frame.createOrReplaceTempView(names[name])
+    text = wide_sql(planner.plan(meta, WIDE, config), meta, "wide_sample", sample.columns, config, columns_of={n: f.columns for n, f in frames.items()})
+    for name in sorted(names, key=len, reverse=True):
+        text = re.sub(rf"(FROM|JOIN) {re.escape(name)}\b", rf"\1 {names[name]}", text)
+    return rounded(spark.sql(text).select("apply_no", "cust_no", "segment", "spent", "last_price", "n_day", "near_price"), 2)
+
+
+
 _ROWS = "(VALUES ('acctbal', 'wdyy.t_ccr_customer'), ('segment', 'wdyy.t_ccr_customer'), ('spent', 'ads.ads_risk_month'), ('acctbal', 'ads.ads_risk_month'), ('last_price', 'wdyy.t_zxysblhs_orders'), ('n_day', 'edap.v_br_day'), ('cust_no', 'edap.v_br_day'), ('near_price', 'ed0223.near'), ('model_score', 'sykj1.model_a')) v(name, \"table\")"
 
 

@@ -55,6 +55,35 @@ def tree_score(spark, sf_dir):
     return rounded(scoring.score(sample(spark, sf_dir), parse_text(MODEL), ["key", "line"]).select("key", "line", "score", "all_null_flag"))
 
 
+#: A tree that splits on sets of categories: 3, 4, 33 and 40, then 1, 2 and 50; features are spelled in another case than the columns.
+CATEGORICAL = """tree
+num_class=1
+num_tree_per_iteration=1
+objective=binary sigmoid:0.5
+feature_names=F_Quantity F_Price
+
+Tree=0
+num_leaves=4
+num_cat=2
+split_feature=0 1 0
+split_gain=10 6 4
+threshold=0 40000 1
+decision_type=1 2 1
+cat_boundaries=0 2 4
+cat_threshold=24 258 6 262144
+left_child=-1 2 -2
+right_child=1 -4 -3
+leaf_value=1.5 -0.75 0.25 -2
+
+end of trees
+"""
+
+
+@query("tree_score_categorical", f"""WITH {SAMPLE_SQL} SELECT key, line, round(1 / (1 + exp(-0.5 * CASE WHEN f_quantity IN (3, 4, 33, 40) THEN 1.5 WHEN f_price <= 40000 THEN CASE WHEN f_quantity IN (1, 2, 50) THEN -0.75 ELSE 0.25 END ELSE -2 END)), 6) AS score FROM sample""")
+def tree_score_categorical(spark, sf_dir):
+    return rounded(scoring.score(sample(spark, sf_dir), parse_text(CATEGORICAL), ["key", "line"]).select("key", "line", "score"))
+
+
 @query("scorecard_map", f"""WITH {SAMPLE_SQL}, x AS ({scoring.full_sql(parse_text(MODEL), 'sample', ['month'])}) SELECT month, count(*) AS n, round(avg(score_card), 1) AS card, round(min(score_card), 1) AS low, round(max(score_card), 1) AS high FROM x GROUP BY 1""")
 def scorecard_map(spark, sf_dir):
     x = scoring.score(sample(spark, sf_dir), parse_text(MODEL), ["month"])

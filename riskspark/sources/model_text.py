@@ -1,6 +1,7 @@
 """Tree ensembles from the public LightGBM text format, PMML field lists, and a JSON form of our own.
 
-Pickled models are refused: loading one runs code from the file.
+Pickled models are refused: loading one runs code from the file. Which value counts as missing (zero or NaN) is not taken
+over from the file: scoring fills missing values before the trees see them.
 """
 
 from __future__ import annotations
@@ -13,13 +14,14 @@ from pathlib import Path
 
 @dataclass
 class Node:
-    """An inner node, or a leaf (feature None)."""
+    """An inner node, or a leaf (feature None). A categorical node sends the categories named left."""
 
     value: float = 0.0
     feature: int | None = None
     threshold: float = 0.0
     gain: float = 0.0
     categorical: bool = False
+    categories: tuple[int, ...] = ()
     default_left: bool = False
     left: Node | None = None
     right: Node | None = None
@@ -59,16 +61,27 @@ class TreeModel:
     def ranked(self) -> list[tuple[str, float]]:
         return sorted(self.importance().items(), key=lambda x: (-x[1], self.features.index(x[0])))
 
+    def classes(self) -> int:
+        """Trees of one round: more than one is a model of several classes."""
+        return max(int(self.params.get(k) or 1) for k in ("num_class", "num_tree_per_iteration"))
+
+    def steepness(self) -> float:
+        """The factor of the sigmoid that turns a sum of trees into a probability; other objectives and several classes are refused."""
+        kind, *options = (self.objective or "binary").split()
+        if kind not in ("binary", "cross_entropy", "xentropy") or self.classes() > 1:
+            raise ValueError(f"a model of objective {self.objective!r} with {self.classes()} classes does not give one probability")
+        return next((float(o.partition(":")[2]) for o in options if o.startswith("sigmoid:")), 1.0)
+
     def dump(self) -> dict:
         def tree(node: Node) -> dict:
             if node.feature is None:
                 return {"leaf_value": node.value}
             return {
-                "split_feature": node.feature, "threshold": node.threshold, "split_gain": node.gain, "default_left": node.default_left,
+                "split_feature": node.feature, "threshold": "||".join(map(str, node.categories)) if node.categorical else node.threshold, "split_gain": node.gain, "default_left": node.default_left,
                 "decision_type": "==" if node.categorical else "<=", "left_child": tree(node.left), "right_child": tree(node.right),
             }
 
-        return {"feature_names": self.features, "objective": self.objective, "tree_info": [{"tree_structure": tree(t)} for t in self.trees]}
+        return {"feature_names": self.features, "objective": self.objective, "num_class": self.classes(), "tree_info": [{"tree_structure": tree(t)} for t in self.trees]}
 
     def info(self) -> dict:
         return {"objective": self.objective, "features": len(self.features), "valid_features": len(self.valid_features()), "trees": len(self.trees)}
@@ -88,9 +101,18 @@ def _tree(block: dict[str, str]) -> Node:
         return leaves[0] if leaves else Node()
     kinds = numbers("decision_type", int) or [0] * len(splits)
     gains = numbers("split_gain") or [0.0] * len(splits)
-    # bit 0: categorical, bit 1: missing values go left
+    bounds, sets = numbers("cat_boundaries", int), numbers("cat_threshold", int)
+
+    def categories(k: int) -> tuple[int, ...]:
+        """The set bits of the k-th bit set, 32 categories for each number."""
+        if k + 1 >= len(bounds) or bounds[k + 1] > len(sets):
+            raise ValueError("a categorical split without its categories")
+        words = sets[bounds[k] : bounds[k + 1]]
+        return tuple(32 * i + b for i, w in enumerate(words) for b in range(32) if w >> b & 1)
+
+    # bit 0: categorical, whose threshold is the number of a bit set; bit 1: missing values go left
     nodes = [
-        Node(feature=f, threshold=t, gain=g, categorical=bool(k & 1), default_left=bool(k & 2))
+        Node(feature=f, threshold=t, gain=g, categorical=bool(k & 1), categories=categories(int(t)) if k & 1 else (), default_left=bool(k & 2))
         for f, t, g, k in zip(splits, numbers("threshold"), gains, kinds, strict=True)
     ]
     child = lambda i: nodes[i] if i >= 0 else leaves[-i - 1]
@@ -128,12 +150,14 @@ def parse_json(text: str) -> TreeModel:
     def node(x: dict) -> Node:
         if "leaf_value" in x:
             return Node(value=x["leaf_value"])
+        categorical = x.get("decision_type", "<=") == "=="
+        named = tuple(int(float(c)) for c in str(x["threshold"]).split("||") if c) if categorical else ()
         return Node(
-            feature=x["split_feature"], threshold=float(x["threshold"]), gain=x.get("split_gain", 0.0), categorical=x.get("decision_type", "<=") == "==",
+            feature=x["split_feature"], threshold=0.0 if categorical else float(x["threshold"]), gain=x.get("split_gain", 0.0), categorical=categorical, categories=named,
             default_left=x.get("default_left", False), left=node(x["left_child"]), right=node(x["right_child"]),
         )
 
-    return TreeModel(data["feature_names"], [node(t["tree_structure"]) for t in data["tree_info"]], data.get("objective", ""))
+    return TreeModel(data["feature_names"], [node(t["tree_structure"]) for t in data["tree_info"]], data.get("objective", ""), {"num_class": str(data.get("num_class", 1))})
 
 
 def pmml_fields(text: str) -> list[str]:

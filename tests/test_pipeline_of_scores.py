@@ -17,7 +17,11 @@ def test_sql_text_gives_the_lowered_rows(spark, sf_dir):
     base, frames, config = assembly._wide(spark, sf_dir)
     meta = assembly.metadata()
     plan = planner.plan(meta, assembly.WIDE, config)
-    text = wide_sql(plan, meta, "wide_sample", base.columns, config)
+    # a business date and no policy: tables that have their partition column are read by it, in both forms
+    text = wide_sql(plan, meta, "wide_sample", base.columns, config, columns_of={n: f.columns for n, f in frames.items()})
+    assert text.count("dt = '20240101'") == 1
+    customer = frames["wdyy.t_ccr_customer"]
+    frames["wdyy.t_ccr_customer"] = customer.unionByName(customer.withColumn("dt", F.lit("20231201")).withColumn("segment", F.lit("old")))
     base.createOrReplaceTempView("wide_sample")
     for name, df in frames.items():
         safe = name.replace(".", "__")
@@ -57,6 +61,72 @@ def test_scoring_pipeline(spark, tmp_path):
     assert "CREATE TABLE wide_table" in (tmp_path / "x.sql").read_text()
 
 
+def test_partition_rule():
+    c = planner.Config(biz_date="20240101")
+    assert c.partition("t", "p", "c", "dt") == ("dt", "=", "20240101")
+    assert planner.Config().partition("t", "p", "c", "dt") is None
+    c.partition_control = {"default": {"enabled": False}, "platform:p": {"min_partition": "2023", "partition_field": "pt"}}
+    assert c.partition("t", "q", "c", "dt") is None and c.partition("t", "p", "c", "dt") == ("pt", ">=", "2023")
+    c = planner.Config(biz_date="20240101", time_ranges={"t": planner.TimeRange()})
+    assert c.partition("t", "p", "c", "dt") is None
+
+
+def test_names_in_another_case(spark):
+    """A model's features in capitals, from metadata to the scored table."""
+    made, rows, frames = setting(spark)
+    upper = TreeModel(["X", "Y"], made.model.trees)
+    got = ScoringPipeline(upper, made.metadata, made.config).run(rows, planner.from_frames(frames)).collect()
+    want = made.run(rows, planner.from_frames(frames)).collect()
+    pick = lambda rs: sorted((r.apply_no, r.score, r.all_null_flag, r.score_card) for r in rs)
+    assert pick(got) == pick(want)
+
+
+def test_categories_of_the_text_format(spark):
+    from riskspark.operators import scoring
+    from riskspark.queries.modelling import CATEGORICAL
+    from riskspark.sources.model_text import parse_json, parse_text
+
+    model = parse_text(CATEGORICAL)
+    assert model.trees[0].categories == (3, 4, 33, 40) and model.steepness() == 0.5
+    again = parse_json(json.dumps(model.dump()))
+    assert again.dump() == model.dump()
+    df = spark.createDataFrame([(0.0, 1.0), (3.0, 1.0), (40.0, 9e9), (2.0, 1.0), (7.0, 1.0), (None, 5e4)], "f_quantity double, f_price double")
+    raw = [r.tree_0_score for r in scoring.tree_scores(df, again).collect()]
+    assert raw == [0.25, 1.5, 1.5, -0.75, 0.25, -2.0]
+    with pytest.raises(ValueError, match="categories"):
+        parse_text(CATEGORICAL.replace("cat_threshold", "other"))
+
+
+@pytest.mark.parametrize("change", [("num_class=1", "num_class=3"), ("objective=binary sigmoid:0.5", "objective=regression")])
+def test_models_without_one_probability_are_refused(spark, change):
+    from riskspark.operators import scoring
+    from riskspark.queries.modelling import CATEGORICAL
+    from riskspark.sources.model_text import parse_text
+
+    model = parse_text(CATEGORICAL.replace(*change))
+    with pytest.raises(ValueError, match="probability"):
+        scoring.score(spark.createDataFrame([(1.0, 2.0)], "f_quantity double, f_price double"), model, [])
+
+
+def test_cuts_of_a_wide_table(spark, sf_dir):
+    base, frames, config = assembly._wide(spark, sf_dir)
+    meta = assembly.metadata()
+    config.cut_every, made = 2, []
+    cut = planner.Cuts(spark)
+    planner.lower(planner.plan(meta, assembly.WIDE, config), meta, base, planner.from_frames(frames), config, lambda df: made.append(df) or cut(df))
+    assert len(made) == 2
+    cut.clear()
+
+
+def test_as_of_rows_without_key_or_time(spark):
+    from riskspark.operators import joins
+
+    s = spark.createDataFrame([(1, "a", "2024-01-10"), (2, None, "2024-01-10"), (3, "a", None), (4, "b", "2024-01-10")], "id int, k string, t string").withColumn("t", F.to_date("t"))
+    h = spark.createDataFrame([("a", "2024-01-05", 7), (None, "2024-01-05", 8)], "hk string, ht string, v int").withColumn("ht", F.to_date("ht"))
+    got = {r.id: r.v for r in joins.as_of(s, h, ("k", "hk"), ("t", "ht"), ["v"], 30).collect()}
+    assert got == {1: 7, 2: None, 3: None, 4: None}
+
+
 def test_run_command(spark, tmp_path):
     from riskspark.__main__ import main
 
