@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -165,15 +164,30 @@ def monotonic(bins: list[Bin], goods: int, bads: int, rule: Monotonic = REPORT)
     return bins
 
 
-def micro_bins(df: DataFrame, features: list[str], target: str, parts: int = 20) -> DataFrame:
+def label_counts(df: DataFrame, features: list[str], target: str) -> tuple[int, int, dict[str, tuple[int, int, int]]]:
+    """(goods, bads, by feature: rows that are not missing, goods and bads among the missing), in one pass over the rows."""
+    wanted = [F.count("*").alias("n"), F.sum(F.col(target).cast("long")).alias("b")]
+    for i, f in enumerate(features):
+        gone = missing(F.col(f).cast("double"))
+        wanted += [F.sum((~gone).cast("long")).alias(f"k{i}"), F.sum((gone & (F.col(target) == 0)).cast("long")).alias(f"g{i}"), F.sum((gone & (F.col(target) == 1)).cast("long")).alias(f"d{i}")]
+    r = df.where(F.col(target).isin(0, 1)).agg(*wanted).first()
+    n, bads = r.n or 0, r.b or 0
+    return n - bads, bads, {f: (r[f"k{i}"] or 0, r[f"g{i}"] or 0, r[f"d{i}"] or 0) for i, f in enumerate(features)}
+
+
+def micro_bins(df: DataFrame, features: list[str], target: str, parts: int = 20, sizes: dict[str, int] | None = None) -> DataFrame:
     """feature, idx, low, high, good, bad of [a, b) bins between percentiles of the values that are not missing.
 
     Fewer parts for a feature with under 10 values for each: a tenth of its values, 5 at least. Empty bins are left out.
+    sizes holds the rows that are not missing, by feature, where they are known.
     """
     rows = long(df.where(F.col(target).isin(0, 1)), features, [target]).where(~missing(F.col("value")))
-    sizes = {r["feature"]: r["n"] for r in rows.groupBy("feature").agg(F.count("*").alias("n")).collect()}
+    if sizes is None:
+        sizes = {f: known for f, (known, _, _) in label_counts(df, features, target)[2].items()}
     by_parts: dict[int, list[str]] = {}
     for f, n in sizes.items():
+        if not n:
+            continue
         by_parts.setdefault(parts if n >= 10 * parts else max(5, n // 10), []).append(f)
     cuts: dict[str, list[float]] = {}
     for k, own in by_parts.items():
@@ -192,27 +206,28 @@ def micro_bins(df: DataFrame, features: list[str], target: str, parts: int = 20)
 MERGED = "feature string, bin int, low double, high double, good long, bad long"
 
 
+def merged_bins(df: DataFrame, features: list[str], target: str, rule: Monotonic, counts: tuple | None = None) -> list[tuple]:
+    """(feature, bin, low, high, good, bad) after merging: micro bins, 20 rows for a feature, are collected once and merged here."""
+    goods, bads, own = counts or label_counts(df, features, target)
+    n, held, out = goods + bads, {}, []
+    if not n:
+        return out
+    for r in micro_bins(df, features, target, sizes={f: k for f, (k, _, _) in own.items()}).collect():
+        held.setdefault(r["feature"], []).append((r["idx"], Bin(r["low"], r["high"], r["good"], r["bad"])))
+    for name, micro in held.items():
+        bins = by_share([b for _, b in sorted(micro, key=lambda x: x[0])], n, rule)
+        bins = monotonic(bins, goods, bads, rule) if len(bins) > 1 else []
+        out += [(name, i, b.low, b.high, b.good, b.bad) for i, b in enumerate(bins)]
+    return out
+
+
 def monotonic_bins(df: DataFrame, features: list[str], target: str, rule: Monotonic = REPORT) -> DataFrame:
     """feature, bin, low, high, good, bad after merging. Only micro bins, 20 rows for a feature, reach Python.
 
     Shares are of all labelled rows, WOE is of all their goods and bads, as the missing ones are a bin as well.
     Features that end in fewer than two bins are left out.
     """
-    spark = df.sparkSession
-    sums = df.where(F.col(target).isin(0, 1)).agg(F.count("*").alias("n"), F.sum(F.col(target).cast("long")).alias("bad")).first()
-    n, bads = sums.n or 0, sums.bad or 0
-    if not n:
-        return spark.createDataFrame([], MERGED)
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("idx")
-        micro = [Bin(a, b, int(g), int(d)) for a, b, g, d in zip(pdf["low"], pdf["high"], pdf["good"], pdf["bad"], strict=True)]
-        bins = by_share(micro, n, rule)
-        bins = monotonic(bins, n - bads, bads, rule) if len(bins) > 1 else []
-        name = pdf["feature"].iloc[0]
-        return pd.DataFrame([(name, i, b.low, b.high, b.good, b.bad) for i, b in enumerate(bins)], columns=["feature", "bin", "low", "high", "good", "bad"])
-
-    return micro_bins(df, features, target).groupBy("feature").applyInPandas(merge, MERGED)
+    return df.sparkSession.createDataFrame(merged_bins(df, features, target, rule), MERGED)
 
 
 def hull_edges(edges: list[float], good: list[int], bad: list[int]) -> list[float]:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import divide
 from .binning import quantile_edges, right_closed
-from .curves import ALL, auc_ks, tallies
-from .running import running
+from .curves import joint_tallies, rankings, with_all
+from .running import quantiles, running
 
 SHARES = (10, 5, 2, 1)
 
@@ -21,9 +21,8 @@ def lift(df: DataFrame, score: str, target: str, by: list[str] | None = None, sh
     by = by or []
     rows = df.where(F.col(target).isin(0, 1) & F.col(score).isNotNull())
     counts = rows.groupBy(*by, F.col(score).cast("double").alias("s"), F.col(target).cast("long").alias("t")).agg(F.count("*").alias("c"))
-    placed = running(counts.withColumn("s", F.col("s") if lower_is_riskier else -F.col("s")), by, ["s", "t"], {"before": "c"})
-    sums = counts.groupBy(*by).agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("t")).alias("b"))
-    x = placed.join(F.broadcast(sums), by) if by else placed.crossJoin(F.broadcast(sums))
+    counts = counts.withColumns({"s": F.col("s") if lower_is_riskier else -F.col("s"), "d": F.col("c") * F.col("t")})
+    x = running(counts, by, ["s", "t"], {"before": "c"}, totals={"n": "c", "b": "d"})
     top = lambda p: F.floor(F.col("n") * p / 100)
     taken = lambda p: F.greatest(F.lit(0), F.least(F.col("c"), top(p) - F.col("before")))
     got = x.groupBy(*by, "n", "b").agg(*(F.sum(taken(p) * F.col("t")).alias(f"_{p}") for p in shares))
@@ -32,9 +31,13 @@ def lift(df: DataFrame, score: str, target: str, by: list[str] | None = None, sh
 
 
 def monthly_lift(df: DataFrame, month: str, score: str, target: str, shares: tuple[int, ...] = SHARES) -> DataFrame:
-    """lift() for each month, as text, and for all."""
-    each = lift(df.withColumn(month, F.col(month).cast("string")), score, target, [month], shares)
-    return each.unionByName(lift(df, score, target, None, shares).withColumn(month, F.lit(ALL)).select(each.columns))
+    """lift() for each month, as text, and for all, from one tally of the scores."""
+    rows = df.where(F.col(target).isin(0, 1) & F.col(score).isNotNull())
+    tally = with_all(joint_tallies(rows, [month], score, target), month)
+    sizes = tally.groupBy(month).agg(F.sum(F.col("good") + F.col("bad")).cast("long").alias("n"))
+    ranked = rankings(tally, [month], {"": ("good", "bad")}, shares, rows.select(F.col(score).cast("double").alias("s")))
+    lifts = ranked.select(F.col(month).alias("_m"), *(f"lift_{p}" for p in shares))
+    return sizes.join(lifts, F.col(month).eqNullSafe(F.col("_m"))).select(month, "n", *(f"lift_{p}" for p in shares))
 
 
 def monthly_report(metrics: DataFrame, lifts: DataFrame, month: str) -> DataFrame:
@@ -45,7 +48,7 @@ def monthly_report(metrics: DataFrame, lifts: DataFrame, month: str) -> DataFram
 def binned(bins: DataFrame, by: list[str], goods_bads: DataFrame | None = None, descending: bool = False) -> DataFrame:
     """Adds rates, cumulative rates, ks, lift and cum_lift, rounded to 4 places, to rows of by, bin, good, bad."""
     sums = goods_bads or bins.groupBy(*by).agg(F.sum("good").alias("goods"), F.sum("bad").alias("bads"))
-    x = (bins.join(F.broadcast(sums), by) if by else bins.crossJoin(F.broadcast(sums))).withColumn("total", F.col("good") + F.col("bad"))
+    x = (bins.join(sums, by) if by else bins.crossJoin(F.broadcast(sums))).withColumn("total", F.col("good") + F.col("bad"))
     # bins are few
     w = Window.partitionBy(*by, *([] if by else [F.lit(0)])).orderBy(F.desc("bin") if descending else F.asc("bin")).rowsBetween(Window.unboundedPreceding, 0)
     x = x.withColumns({"cg": F.sum("good").over(w), "cb": F.sum("bad").over(w)})
@@ -219,27 +222,33 @@ def set_effects(df: DataFrame, group: str, score: str, target: str, train: Colum
     rows = df.where(F.col(target).isin(0, 1))
     out = rows.groupBy(group).agg(F.count("*").alias("n"), F.sum(F.col(target).cast("long")).alias("bad"))
     out = out.withColumn("bad_rate", F.round(F.col("bad") / F.col("n"), 4))
-    out = out.join(auc_ks(tallies(rows, [group], score, target), [group]), group, "left")
-    out = out.join(lift(rows, score, target, [group]).drop("n"), group, "left")
-    if amount:
-        out = out.join(auc_ks(tallies(rows, [group], score, target, amount), [group]).withColumnsRenamed({"auc": "amt_auc", "ks": "amt_ks"}), group, "left")
-    for name, base in (("psi_train", train), ("psi_oot", oot)):
-        if base is not None:
-            out = out.join(psi_by_group(rows, group, score, base).withColumnRenamed("psi", name), group, "left")
-    return out
-
-
-def psi_by_group(df: DataFrame, group: str, score: str, base: Column, parts: int = 10) -> DataFrame:
-    """group, psi of each group's scores against the base rows, on the base rows' quantile bins."""
-    edges = quantile_edges(df.where(base), [score], parts)[score]
-    placed = df.where(F.col(score).isNotNull()).withColumn("bin", right_closed(score, edges[1:-1]))
-    grid = df.sparkSession.range(1).select(F.explode(F.sequence(F.lit(0), F.lit(max(0, len(edges) - 2)))).alias("bin"))
-    expected = placed.where(base).groupBy("bin").agg(F.count("*").alias("e"))
-    sums = expected.agg(F.sum("e").alias("es"))
-    groups = placed.groupBy(group).agg(F.count("*").alias("as"))
-    counts = placed.groupBy(group, "bin").agg(F.count("*").alias("a"))
-    x = groups.crossJoin(F.broadcast(grid)).join(counts, [group, "bin"], "left").join(F.broadcast(expected), "bin", "left").crossJoin(F.broadcast(sums))
-    a = F.greatest(F.coalesce("a", F.lit(0)) / F.col("as"), F.lit(1e-10))
-    e = F.greatest(F.coalesce("e", F.lit(0)) / F.col("es"), F.lit(1e-10))
-    return x.groupBy(group).agg(F.greatest(F.sum((a - e) * F.ln(a / e)), F.lit(0.0)).alias("psi"))
-
+    pairs = {"": ("good", "bad")} | ({"amt_": ("w_good", "w_bad")} if amount else {})
+    # one pass along the scores for all curves and lifts, one over the rows for all PSI
+    ranked = rankings(joint_tallies(rows, [group], score, target, amount), [group], pairs, SHARES, rows.select(F.col(score).cast("double").alias("s")))
+    out = out.join(ranked, group, "left")
+    bases = {"psi_train": train} | ({"psi_oot": oot} if oot is not None else {})
+    return out.join(psi_by_group(rows, group, score, bases), group, "left")
+
+
+def psi_by_group(df: DataFrame, group: str, score: str, bases: dict[str, Column], parts: int = 10) -> DataFrame:
+    """group and, by the names of bases, the psi of each group's scores against the base rows, on the base rows' quantile bins."""
+    known = df.where(F.col(score).isNotNull()).select(F.col(group).alias("_g"), F.col(score).cast("double").alias("_s"), *(F.coalesce(c, F.lit(False)).alias(n) for n, c in bases.items()))
+    of = known.select("_s", F.explode(F.array(*(F.when(F.col(n), F.lit(n)) for n in bases))).alias("base")).where("base IS NOT NULL AND NOT isnan(_s)")
+    edges: dict[str, set[float]] = {n: set() for n in bases}
+    for r in quantiles(of, ["base"], "_s", [k / parts for k in range(parts + 1)]).collect():
+        edges[r["base"]].add(r["quantile"])
+    counts = known.groupBy("_g", *bases, *(right_closed("_s", sorted(e)[1:-1]).alias(f"bin_{n}") for n, e in edges.items())).agg(F.count("*").alias("n"))
+    out = None
+    for name, own in edges.items():
+        # as many bins as parts
+        expected = counts.where(name).groupBy(F.col(f"bin_{name}").alias("bin")).agg(F.sum("n").alias("e"))
+        sums = expected.agg(F.sum("e").alias("es"))
+        grid = df.sparkSession.range(1).select(F.explode(F.sequence(F.lit(0), F.lit(max(0, len(own) - 2)))).alias("bin"))
+        groups = counts.groupBy("_g").agg(F.sum("n").alias("as"))
+        seen = counts.groupBy("_g", F.col(f"bin_{name}").alias("bin")).agg(F.sum("n").alias("a"))
+        x = groups.crossJoin(F.broadcast(grid)).join(seen, ["_g", "bin"], "left").join(F.broadcast(expected), "bin", "left").crossJoin(F.broadcast(sums))
+        a = F.greatest(F.coalesce("a", F.lit(0)) / F.col("as"), F.lit(1e-10))
+        e = F.greatest(F.coalesce("e", F.lit(0)) / F.col("es"), F.lit(1e-10))
+        psi = x.groupBy("_g").agg(F.greatest(F.sum((a - e) * F.ln(a / e)), F.lit(0.0)).alias(name))
+        out = psi if out is None else out.join(psi, "_g", "left")
+    return out.withColumnRenamed("_g", group)

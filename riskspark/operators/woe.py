@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import divide, ln_ratio, missing
-from .binning import LIBRARY, REPORT, Monotonic, long, monotonic_bins, quantile_edges
+from .binning import LIBRARY, REPORT, Monotonic, label_counts, long, merged_bins, monotonic_bins, quantile_edges
 from .running import running
 
 
@@ -79,15 +79,18 @@ def missing_bins(df: DataFrame, features: list[str], target: str) -> DataFrame:
 def monotonic_table(df: DataFrame, features: list[str], target: str, rule: Monotonic = REPORT) -> DataFrame:
     """feature, place, low, high (null for missing), good, bad and rates; the missing bin has place 0. Features whose merge
     fails get five quantile bins instead."""
-    goods, bads = totals(df, target)
-    merged = monotonic_bins(df, features, target, rule).select("feature", (F.col("bin") + 1).alias("place"), "low", "high", "good", "bad")
-    done = [r["feature"] for r in merged.select("feature").distinct().collect()]
-    rest = [f for f in features if f not in done]
+    spark, nothing = df.sparkSession, F.lit(None).cast("double")
+    counts = label_counts(df, features, target)
+    goods, bads, own = counts
+    bins = merged_bins(df, features, target, rule, counts)
+    rows = [(f, i + 1, low, high, good, bad) for f, i, low, high, good, bad in bins]
+    rows += [(f, 0, None, None, g, d) for f, (_, g, d) in own.items() if g + d]
+    merged = spark.createDataFrame(rows, "feature string, place int, low double, high double, good long, bad long")
+    rest = [f for f in features if f not in {r[0] for r in bins}]
     if rest:
-        backup = quantile_table(df, rest, target).select("feature", (F.col("bin") + 1).alias("place"), F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"), "good", "bad")
+        backup = quantile_table(df, rest, target).select("feature", (F.col("bin") + 1).alias("place"), nothing.alias("low"), nothing.alias("high"), "good", "bad")
         merged = merged.unionByName(backup)
-    gone = missing_bins(df, features, target).select("feature", F.lit(0).alias("place"), F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"), "good", "bad")
-    return rates(merged.unionByName(gone), goods, bads, ["feature"], rule.digits)
+    return rates(merged, goods, bads, ["feature"], rule.digits)
 
 
 def library_table(df: DataFrame, feature: str, target: str, increasing: bool = True) -> DataFrame:
