@@ -266,7 +266,11 @@ def woe_column(column: str, interior: list[float], values: list[float]) -> Colum
 
 
 def split(df: DataFrame, target: str, month: str, oot_from: int, share: float = 0.8, seed: int = 2025, key: str | None = None) -> DataFrame:
-    """df with data_flag: oot from a month on, else train or test, drawn at `share` within each class by a hash of the key."""
-    source = F.col(key) if key else F.struct(*df.columns)
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col(target), source), F.lit(1_000_000)) / 1_000_000
+    """df with data_flag: oot from a month on, else train or test, drawn at `share` within each class by an MD5 of seed, target and key.
+
+    Without a key the whole row is hashed, so that rows of one key may fall on either side.
+    """
+    source = F.col(key).cast("string") if key else F.xxhash64(*df.columns).cast("string")
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(target).cast("string"), source))
+    draw = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 1_000_000 / 1_000_000
     return df.withColumn("data_flag", F.when(F.col(month) >= oot_from, "oot").when(draw < share, "train").otherwise("test"))

@@ -140,8 +140,8 @@ def correlation(spark, sf_dir):
     return rounded(spark.createDataFrame([(float(c[0, 1]), float(c[0, 2]))], "quantity_price double, quantity_discount double"))
 
 
-@query("split_flags")
+@query("split_flags", f"""WITH {SAMPLE_SQL}, d AS (SELECT month, bad, CAST('0x' || substr(md5('2025:' || bad || ':' || key), 1, 8) AS BIGINT) % 1000000 / 1000000 AS draw FROM sample)
+SELECT CASE WHEN month >= 200001 THEN 'oot' WHEN draw < 0.8 THEN 'train' ELSE 'test' END AS data_flag, bad, count(*) AS n FROM d GROUP BY 1, 2""")
 def split_flags(spark, sf_dir):
-    """Rows by month part and drawn flag; the draw hashes the row and has no counterpart in SQL."""
-    x = scorecard.split(sample(spark, sf_dir), "bad", "month", 200001)
+    x = scorecard.split(sample(spark, sf_dir), "bad", "month", 200001, key="key")
     return x.groupBy("data_flag", "bad").agg(F.count("*").alias("n"))
