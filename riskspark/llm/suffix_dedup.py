@@ -15,8 +15,10 @@ tied, finds the common prefixes of neighbours, and does likewise for the reverse
 before an anchor is repeated if another suffix lies in the same d-block on the left and the same (LENGTH - d)-block on the right.
 
 Hot passages. Cores that are frequent in the sampled documents are known to be repeated; their anchors are dealt by reach, and their
-suffixes twice, once by SIDE more bytes on the left, for d >= SIDE, and once by the other bytes that all strings of smaller d hold
-on the right. So a passage that a third of all documents hold is spread by what surrounds it.
+suffixes by ranges of d: the strings of one range [low, high) hold low bytes before the anchor and LENGTH - high + 1 after it, and a suffix is
+dealt by these. Where they are frequent in the sample too, the range is parted into finer ones of FINE; and where those are, as at the
+end of a passage that a third of all documents hold, strings are dealt one by one, by a 128-bit hash of the whole string. Strings that the
+sample holds twice are known to be repeated and are not dealt at all. What decides is always something that equal strings share, so they meet.
 """
 
 from __future__ import annotations
@@ -45,6 +47,8 @@ HOT_SHARE, HOT_LEAST = 0.004, 8
 SIDE = WINDOW // 2
 #: Buckets that suffixes of hot cores are dealt to, for each bucket of the others.
 HOT_BUCKETS = 1
+#: Distances of a fine range, and the most frequent keys and strings of the sample that workers are told of; they set the speed only.
+FINE, TOLD = 16, 200_000
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -280,11 +284,12 @@ def repeated_starts(right: pa.Array, left: pa.Array, back: np.ndarray, fore: np.
     return np.concatenate(rows), np.concatenate(ds)
 
 
-def _sampled(keyed: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of about SAMPLE documents, drawn by a hash of the row: quantiles of the leading tokens of their anchors, and their hot cores."""
-    many = keyed.count()
-    share = min(1.0, SAMPLE / max(1, many))
-    drawn = keyed.where(f"(xxhash64(id, tag) & 1048575) < {max(1, round(share * 1048576))}")
+def _hot_least(many: int) -> int:
+    return max(HOT_LEAST, round(HOT_SHARE * min(SAMPLE, many)))
+
+
+def _sampled(drawn: DataFrame, many: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of drawn documents: quantiles of the leading tokens of their anchors, and their hot cores."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest as h
@@ -298,20 +303,95 @@ def _sampled(keyed: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
                 yield pa.RecordBatch.from_arrays([pa.array(lead.view(np.int64)), pa.array(core.view(np.int64))], names=["lead", "core"])
 
     marks = drawn.mapInArrow(run, "lead long, core long")
-    least = max(HOT_LEAST, round(HOT_SHARE * min(SAMPLE, many)))
-    hot = marks.groupBy("core").agg(F.count("*").alias("n")).where(F.col("n") >= least).orderBy(F.desc("n")).limit(4096)
+    hot = marks.groupBy("core").agg(F.count("*").alias("n")).where(F.col("n") >= _hot_least(many)).orderBy(F.desc("n")).limit(4096)
     leads = marks.where("(xxhash64(core) & 3) = 0")
     got = np.sort(leads.select("lead").toArrow()["lead"].to_numpy().view(np.uint64))
     cuts = np.unique(got[np.arange(1, buckets) * len(got) // buckets]) if len(got) else got
     return cuts, np.sort(hot.select("core").toArrow()["core"].to_numpy())
 
 
-def _suffixes(wanted: DataFrame, keyed: DataFrame, cuts: np.ndarray, hot: np.ndarray) -> DataFrame:
+def _ranges(low: int, high: int, width: int) -> list[tuple[int, int]]:
+    """The ranges [x, x + width) that low to high fall into."""
+    return [(x, x + width) for x in range(low // width * width, high + 1, width)]
+
+
+def _range_key(context: bytes, suffix: bytes, low: int, high: int) -> int:
+    """A hash of the bytes that all strings of the range [low, high) of distances hold."""
+    from xxhash import xxh3_64_intdigest as h
+
+    return h(context[len(context) - low :] + suffix[: LENGTH - high + 1], low << 8 | high)
+
+
+def _string_key(context: bytes, suffix: bytes, d: int) -> bytes:
+    from xxhash import xxh3_128_digest as h
+
+    return h(context[len(context) - d :] + suffix[: LENGTH - d], d)
+
+
+def _told(drawn: DataFrame, many: int, hot: np.ndarray) -> tuple[frozenset[int], frozenset[bytes]]:
+    """Of drawn documents: the keys of ranges that are frequent among suffixes of hot cores, and the strings of such fine ranges that occur twice."""
+    if not len(hot):
+        return frozenset(), frozenset()
+
+    def spots(batches: Iterator[pa.RecordBatch]):
+        from xxhash import xxh3_64_intdigest as h
+
+        for batch in batches:
+            for f, z in slices(batch.column(2), 2 << 20):
+                data, raw, first, end = _raw(batch.column(2).slice(f, z - f))
+                doc, a, s, e = anchors(raw, first, end)
+                for n, at, begin, stop in zip(doc.tolist(), a.tolist(), s.tolist(), e.tolist(), strict=True):
+                    core = np.uint64(h(data[at : at + CORE])).view(np.int64)
+                    k = np.searchsorted(hot, core)
+                    if k < len(hot) and hot[k] == core:
+                        yield data[max(at - WINDOW + 1, int(first[n])) : at].tobytes(), data[at : min(at + LENGTH, int(end[n]))].tobytes(), at - stop, at - begin
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = [_range_key(c, x, f, z) for c, x, low, high in spots(batches) for w in (SIDE, FINE) for f, z in _ranges(low, high, w)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.uint64).view(np.int64))], names=["key"])
+
+    seen = drawn.mapInArrow(ranges, "key long").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= _hot_least(many))
+    frequent = frozenset(seen.orderBy(F.desc("n")).limit(TOLD).select("key").toArrow()["key"].to_numpy().view(np.uint64).tolist())
+
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = []
+        for c, x, low, high in spots(batches):
+            for f, z in _ranges(low, high, FINE):
+                if _range_key(c, x, f, z) in frequent:
+                    keys += [_string_key(c, x, d) for d in range(max(f, low), min(z - 1, high) + 1)]
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary())], names=["key"])
+
+    twice = drawn.mapInArrow(strings, "key binary").groupBy("key").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n")).limit(TOLD)
+    return frequent, frozenset(twice.select("key").toArrow()["key"].to_pylist())
+
+
+#: Buckets below zero: spans that are known, and strings that are dealt one by one, whose place is their span and whose suffix is their key.
+KNOWN, STRING = -1, -2
+
+
+def _suffixes(wanted: DataFrame, keyed: DataFrame, cuts: np.ndarray, hot: np.ndarray, frequent: frozenset[int], twice: frozenset[bytes]) -> DataFrame:
     """(bucket, id, tag, place, kind, low, high, suffix, context) of the wanted anchors, fetched from their texts; low to high: the d to compare."""
     spread = HOT_BUCKETS * (len(cuts) + 1)
     asked = wanted.groupBy("id", "tag").agg(F.sort_array(F.collect_set(F.expr("place * 8 + kind"))).alias("asked"))
     joined = keyed.join(asked, ["id", "tag"])
 
+    def deal(context: bytes, suffix: bytes, low: int, high: int):
+        """(bucket, first d, last d, key): where the strings of a hot suffix go; the key of a string that goes alone."""
+        for f, z in _ranges(low, high, SIDE):
+            key = _range_key(context, suffix, f, z)
+            if key not in frequent:
+                yield len(cuts) + 1 + key % spread, max(f, low), min(z - 1, high), b""
+                continue
+            for g, y in _ranges(max(f, low), min(z - 1, high), FINE):
+                key = _range_key(context, suffix, g, y)
+                own = max(g, low), min(y - 1, high)
+                if key not in frequent:
+                    yield len(cuts) + 1 + key % spread, *own, b""
+                    continue
+                for d in range(own[0], own[1] + 1):
+                    key = _string_key(context, suffix, d)
+                    yield (KNOWN if key in twice else STRING), d, d, key
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest as h
 
@@ -333,22 +413,39 @@ def _suffixes(wanted: DataFrame, keyed: DataFrame, cuts: np.ndarray, hot: np.nda
                 bucket = np.searchsorted(cuts, lead, "right")
                 low, high = place & 127, (place >> 7) & 127
                 rows = np.arange(len(place))
+                put, before = place, [context, suffix]
                 if len(hot):
                     core = np.array([h(x[:CORE]) for x in suffix], np.uint64).view(np.int64)
                     spots = np.flatnonzero(np.isin(core, hot))
-                    bucket[spots] = len(cuts) + 1 + np.array([h(context[i][-SIDE:], 1) % spread for i in spots.tolist()], np.int64)
-                    # a string that starts less than SIDE before the anchor holds LENGTH - SIDE + 1 bytes after it
-                    right = len(cuts) + 1 + np.array([h(suffix[i][: LENGTH - SIDE + 1], 2) % spread for i in spots.tolist()], np.int64)
-                    rows, bucket = np.concatenate((rows, spots)), np.concatenate((bucket, right))
-                    low, high = np.concatenate((low, low[spots])), np.concatenate((high, np.minimum(high[spots], SIDE - 1)))
-                    low[spots] = np.maximum(low[spots], SIDE)
-                    some = np.flatnonzero(low <= high)
-                    rows, bucket, low, high = rows[some], bucket[some], low[some], high[some]
-                at = pa.array(rows)
+                    more: list[tuple] = []
+                    for i in spots.tolist():
+                        at, part, held = int(a[i] - first[doc[i]]), bool(kind[i] & PART), None
+                        for where, d0, d1, key in deal(context[i], suffix[i], int(low[i]), int(high[i])):
+                            if where == KNOWN:
+                                # of known strings, runs of distances go on as one span
+                                if held and held[1] + 1 == d0:
+                                    held[1] = d1
+                                    continue
+                                if held and part:
+                                    more.append((i, KNOWN, held[0], held[1], (at - held[1]) << 32 | at - held[0] + LENGTH, b"", b""))
+                                held = [d0, d1]
+                            elif where == STRING:
+                                more.append((i, STRING, d0, d1, (at - d1) << 32 | at - d0 + LENGTH, b"", key))
+                            else:
+                                more.append((i, where, d0, d1, int(place[i]), context[i], suffix[i]))
+                        if held and part:
+                            more.append((i, KNOWN, held[0], held[1], (at - held[1]) << 32 | at - held[0] + LENGTH, b"", b""))
+                    calm = np.setdiff1d(rows, spots)
+                    rows = np.concatenate((calm, np.array([m[0] for m in more], np.int64)))
+                    bucket, low, high, put = (
+                        np.concatenate((x[calm], np.array([m[k] for m in more], np.int64))) for k, x in ((1, bucket), (2, low), (3, high), (4, place))
+                    )
+                    before = [[x[i] for i in calm.tolist()] + [m[k] for m in more] for k, x in ((5, context), (6, suffix))]
+                texts = pa.array(doc[rows])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(bucket, pa.int32()), own.column(0).take(pa.array(doc[rows])), own.column(1).take(pa.array(doc[rows])), pa.array(place[rows]), pa.array(kind[rows], pa.int32()),
-                        pa.array(low, pa.int32()), pa.array(high, pa.int32()), pa.array(suffix, pa.binary()).take(at), pa.array(context, pa.binary()).take(at),
+                        pa.array(bucket, pa.int32()), own.column(0).take(texts), own.column(1).take(texts), pa.array(put), pa.array(kind[rows], pa.int32()),
+                        pa.array(low, pa.int32()), pa.array(high, pa.int32()), pa.array(before[1], pa.binary()), pa.array(before[0], pa.binary()),
                     ],
                     names=["bucket", "id", "tag", "place", "kind", "low", "high", "suffix", "context"],
                 )
@@ -366,7 +463,20 @@ def _compared(suffixes: DataFrame) -> DataFrame:
             return
         whole = pa.Table.from_batches(got).combine_chunks()
         bucket = whole["bucket"].to_numpy()
+        alone = np.flatnonzero(bucket == STRING)
+        told = np.flatnonzero(bucket == KNOWN)
+        if len(alone):
+            own = whole["suffix"].combine_chunks().take(pa.array(alone)).dictionary_encode().indices.to_numpy()
+            repeated = np.bincount(own)[own] > 1
+            told = np.concatenate((told, alone[repeated & ((whole["kind"].to_numpy()[alone] & PART) > 0)]))
+        if len(told):
+            t = whole.select(["id", "tag", "place"]).take(pa.array(told)).combine_chunks()
+            yield pa.RecordBatch.from_arrays([t["id"].chunk(0), t["tag"].chunk(0), t["place"].chunk(0)], names=["id", "tag", "span"])
         by = np.argsort(bucket, kind="stable")
+        by = by[bucket[by] >= 0]
+        if not len(by):
+            release()
+            return
         edges = np.flatnonzero(np.concatenate(([True], bucket[by][1:] != bucket[by][:-1], [True])))
         for f, z in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             t = whole.take(pa.array(by[f:z])).combine_chunks()
@@ -390,7 +500,8 @@ def _compared(suffixes: DataFrame) -> DataFrame:
             )
         release()
 
-    return suffixes.repartition("bucket").mapInArrow(run, "id long, tag long, span long")
+    deal = F.when(F.col("bucket") == STRING, F.xxhash64("suffix")).when(F.col("bucket") == KNOWN, F.xxhash64("id", "tag")).otherwise(F.col("bucket").cast("long"))
+    return suffixes.withColumn("deal", deal).repartition("deal").drop("deal").mapInArrow(run, "id long, tag long, span long")
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -398,11 +509,16 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     scratch = Scratch(docs.sparkSession, "suffixes")
     keyed = _keyed(docs, doc_id, text)
     buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts, hot = _sampled(keyed, buckets)
+    many = keyed.count()
+    share = max(1, round(min(1.0, SAMPLE / max(1, many)) * 1048576))
+    # drawn by a hash of the row: reruns draw alike
+    drawn = scratch.table(keyed.where(f"(xxhash64(id, tag) & 1048575) < {share}"))
+    cuts, hot = _sampled(drawn, many, buckets)
+    frequent, twice = _told(drawn, many, hot)
     found = scratch.table(_candidates(_anchor_rows(keyed), hot))
     scratch.free_shuffles()
     wanted = found.where(f"(kind & {PART | PEER}) > 0").select("id", "tag", "place", "kind")
-    part = scratch.table(_compared(_suffixes(wanted, keyed, cuts, hot)))
+    part = scratch.table(_compared(_suffixes(wanted, keyed, cuts, hot, frequent, twice)))
     scratch.free_shuffles()
     a = "((place >> 14) & 2147483647)"
     full = found.where(f"(kind & {FULL}) > 0").selectExpr(
