@@ -25,7 +25,7 @@ def fill(df: DataFrame, fills: dict[str, float], before: dict[str, float] | None
 
 def fill_by_type(df: DataFrame, columns: list[str] | None = None, number: float = FILL) -> DataFrame:
     """Numbers get `number`, texts their most frequent value (the smallest of equals), dates their latest; what is filled in is found in
-    one pass for all columns but texts, which are counted each."""
+    one pass for the dates and one for the texts."""
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
     numbers = [f.name for f in fields if isinstance(f.dataType, NumericType)]
     dates = [f.name for f in fields if isinstance(f.dataType, (DateType, TimestampType))]
@@ -34,8 +34,9 @@ def fill_by_type(df: DataFrame, columns: list[str] | None = None, number: float
     if dates:
         last = df.agg(*(F.max(d).alias(d) for d in dates)).first()
         out = out.withColumns({d: F.coalesce(F.col(d), F.lit(last[d])) for d in dates if last[d] is not None})
-    for t in texts:
-        top = df.where(F.col(t).isNotNull()).groupBy(t).agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), t).first()
-        if top is not None:
-            out = out.withColumn(t, F.coalesce(F.col(t), F.lit(top[t])))
+    if texts:
+        # all texts in one pass: counts by column and value, of which each column's first is kept
+        long = df.select(*texts).unpivot([], texts, "_c", "_v").where("_v IS NOT NULL").groupBy("_c", "_v").agg(F.count("*").alias("_n"))
+        best = long.groupBy("_c").agg(F.min(F.struct((-F.col("_n")).alias("n"), F.col("_v").alias("v"))).alias("best"))
+        out = out.withColumns({r["_c"]: F.coalesce(F.col(r["_c"]), F.lit(r["best"]["v"])) for r in best.collect()})
     return out

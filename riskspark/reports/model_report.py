@@ -118,7 +118,10 @@ class ReportGenerator:
             over = over.orderBy(F.coalesce(F.try_element_at(place, F.col("feature")), F.lit(9999)), F.desc("iv"), "feature")
         else:
             over = over.orderBy(F.desc("iv"), "feature")
-        top = [r["feature"] for r in over.select("feature").limit(c.top).collect()]
+        # a row a feature: collected once, and shown and ranked from that
+        kinds, rows = over.schema, over.limit(sinks.MOST_ROWS).collect()
+        over = x.sparkSession.createDataFrame(rows, kinds).coalesce(1)
+        top = [r["feature"] for r in rows[: c.top]]
         table = woe.monotonic_table(train, top, c.target).orderBy("feature", "place")
         points = [vars(p) for p in self.scorecard.points()] if self.scorecard and self.scorecard.has_model() else None
         return {"overview": over, "thresholds": THRESHOLDS, "woe": table, "scorecard": points}

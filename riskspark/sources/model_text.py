@@ -183,6 +183,14 @@ def load_model(path: str) -> TreeModel:
     return parse_text(text)
 
 
+def from_object(model) -> TreeModel:
+    """From a trained booster, or a wrapper with a booster_, that is in memory: by its own text form. Its owner loads it where its file is trusted."""
+    booster = getattr(model, "booster_", None) or model
+    if not hasattr(booster, "model_to_string"):
+        raise ValueError("the model has no text form: no model_to_string()")
+    return parse_text(booster.model_to_string())
+
+
 def features_of(path: str) -> list[str]:
     return load_model(path).features
 

@@ -144,6 +144,38 @@ def test_run_command(spark, tmp_path):
     assert spark.read.parquet(p("out")).count() == 4 and "# wide table" in (tmp_path / "r.md").read_text()
 
 
+def test_scorecards_and_models_in_memory(tmp_path):
+    import pandas as pd
+
+    from riskspark.queries.modelling import MODEL
+    from riskspark.sources import model_text
+    from riskspark.sources.scorecards import StoredScorecard
+
+    class Plain:
+        pass
+
+    binner = Plain()
+    binner.varlist, binner.ivtable = ["a"], pd.Series([0.4], index=["a"])
+    binner.bins = {"a": pd.Series([pd.Interval(-float("inf"), 2.0), pd.Interval(2.0, float("inf"))])}
+    binner.woetables = {"a": pd.DataFrame({"Good": [10, 5], "Bad": [1, 4], "WoE": [-0.5, 0.7], "IV": [0.1, 0.2]})}
+    alone = StoredScorecard.from_object(binner)
+    assert alone.features() == ["a"] and not alone.has_model() and alone.iv("a") == 0.4 and alone.bins("a") == [(-float("inf"), 2.0), (2.0, float("inf"))]
+    card = Plain()
+    card.binner, card.score_card_result = binner, pd.DataFrame({"name": ["a", "a"], "left": [-float("inf"), 2.0], "right": [2.0, float("inf")], "score": [5, 0]}).set_index("name")
+    card.show_model_result = lambda: pd.DataFrame({"Parameter": ["intercept", "a"], "Estimate": [-4.0, -0.8], "Wald-Chi2": [600.0, 18.0], "P-value": ["<.0001", "<.0001"]})
+    StoredScorecard.from_object(card).save(str(tmp_path / "s.json"))
+    back = StoredScorecard.load(str(tmp_path / "s.json"))
+    assert back == StoredScorecard.from_object(card) and back.wald_order() == ["a"] and back.has_model() and [p.score for p in back.points()] == [5.0, 0.0]
+    with pytest.raises(ValueError, match="Scorecard"):
+        StoredScorecard.from_object({"not": "a scorecard"})
+    booster, wrapper = Plain(), Plain()
+    booster.model_to_string = lambda: MODEL
+    wrapper.booster_ = booster
+    assert model_text.from_object(wrapper).dump() == model_text.from_object(booster).dump() == model_text.parse_text(MODEL).dump()
+    with pytest.raises(ValueError):
+        model_text.from_object(Plain())
+
+
 def test_ks_table(spark, sf_dir):
     got = woe.ks_table(sample(spark, sf_dir), ["f_price", "f_tax"], "bad").collect()
     for r in got:
