@@ -106,3 +106,29 @@ def test_components(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long").repartition(3), Scratch(spark, "cc")).collect()}
     nodes = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {x: root(x) for x in nodes}
+
+
+def test_no_scratch_on_one_machine_of_a_cluster(spark, monkeypatch):
+    import pytest
+    from riskspark.llm import _shared
+
+    class Context:
+        master = "spark://host:7077"
+
+        def __getattr__(self, name):
+            return getattr(spark.sparkContext, name)
+
+        def getConf(self):  # noqa: N802
+            from pyspark import SparkConf
+
+            return SparkConf(loadDefaults=False)
+
+    class Session:
+        sparkContext = Context()  # noqa: N815
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda *_: None)
+
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        with pytest.raises(ValueError, match="checkpoint"):
+            _shared.shared_folder(Session())
