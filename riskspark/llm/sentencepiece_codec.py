@@ -5,7 +5,8 @@ crosses the start of a word; where a model has pieces with a space after other c
 one length advance together: at each place, the hash of every substring that ends there is looked up among the sorted piece
 keys, and the best of score and predecessor is kept as back pointer. The result is the segmentation with the largest sum of
 piece scores, the longest last piece winning ties; bytes that no piece covers are spelled with byte pieces. Words beyond LONG
-bytes, such as runs of CJK characters, have all their substrings looked up at once in the same tables, and their places visited in order, in linear time.
+bytes, such as runs of CJK characters, seldom have one length: TOGETHER or more of nearly one length advance together as well, each up to
+its own end. Fewer have all their substrings looked up at once in the same tables, and their places visited in order, in linear time.
 
 The ids are those of the best-scoring segmentation. They are not the library's ids for a model made by merging, whose scores are ranks of merges.
 """
@@ -25,6 +26,8 @@ from .tokens import crc, vocabulary
 
 SPACE = "▁"
 LONG = 64
+#: Long words that advance together, and the bytes of such a batch.
+TOGETHER, CELLS = 200, 1 << 20
 #: Score of a byte piece: below that of any piece, of which the public model's spaces have the least, -1e9; sums of whole scores
 #: stay exact up to four million byte pieces.
 BYTE_SCORE = -2e9
@@ -92,8 +95,8 @@ class Codec:
         hit = (first[at] == a) & (second[at] == b)
         return np.where(hit, scores[at], -np.inf), ids[at]
 
-    def _batch(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, lengths) of words of one length."""
+    def _batch(self, rows: np.ndarray, sizes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, lengths) of words of one length, or of padded words of the given sizes."""
         n, size = rows.shape
         pre = [_prefixes(rows, base) for base in BASES]
         best = np.full((n, size + 1), -np.inf)
@@ -115,7 +118,7 @@ class Codec:
             best[:, end], back[:, end], piece[:, end] = top, step, which
         out = np.zeros((n, size), np.uint32)
         used = np.zeros(n, np.int64)
-        at = np.full(n, size)
+        at = np.full(n, size) if sizes is None else sizes.copy()
         live = np.arange(n)
         while len(live):
             used[live] += 1
@@ -151,19 +154,32 @@ class Codec:
 
     def _learn(self, words: list[bytes]) -> None:
         sizes = np.array([len(w) for w in words])
-        for size in np.unique(sizes).tolist():
+
+        def put(own: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
+            base = len(self.known)
+            self.known.update((w, base + k) for k, w in enumerate(own))
+            self.ids.append(ids)
+            self.lengths.append(lengths)
+
+        for size in np.unique(sizes[sizes <= LONG]).tolist():
             at = np.flatnonzero(sizes == size)
             for f in range(0, len(at), 20_000):
                 own = [words[i] for i in at[f : f + 20_000].tolist()]
-                if size > LONG:
-                    got = [self._single(w) for w in own]
-                    ids, lengths = np.concatenate(got), np.array([len(g) for g in got])
-                else:
-                    ids, lengths = self._batch(np.frombuffer(b"".join(own), np.uint8).reshape(-1, size))
-                base = len(self.known)
-                self.known.update((w, base + k) for k, w in enumerate(own))
-                self.ids.append(ids)
-                self.lengths.append(lengths)
+                put(own, *self._batch(np.frombuffer(b"".join(own), np.uint8).reshape(-1, size)))
+        order = np.flatnonzero(sizes > LONG)
+        order = order[np.argsort(sizes[order], kind="stable")]
+        ranked, f = sizes[order], 0
+        while f < len(order):
+            # as many as are at most a quarter longer than the first and fit into one batch
+            e = min(int(np.searchsorted(ranked, ranked[f] * 5 // 4, "right")), f + max(1, CELLS // int(ranked[f] * 5 // 4)))
+            own = [words[i] for i in order[f:e].tolist()]
+            if len(own) >= TOGETHER:
+                rows = np.frombuffer(b"".join(w.ljust(int(ranked[e - 1]), b"\0") for w in own), np.uint8).reshape(len(own), -1)
+                put(own, *self._batch(rows, ranked[f:e]))
+            else:
+                got = [self._single(w) for w in own]
+                put(own, np.concatenate(got), np.array([len(g) for g in got]))
+            f = e
         self._store = None
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -176,6 +176,30 @@ def test_sentencepiece_spaces_and_bytes():
     assert c.decode(ids, first) == [b"a   b", b"7"]
 
 
+def test_sentencepiece_long_words_together():
+    import random
+    import time
+
+    draw = random.Random(12)
+    words = ["".join(draw.choice("中文字符的一是在不了有和人这abé") for _ in range(draw.randint(30, 90))) for _ in range(900)]
+    a, b = sentencepiece_codec.Codec(tokens.vocabulary("piece_bpe_32k.model")), sentencepiece_codec.Codec(tokens.vocabulary("piece_bpe_32k.model"))
+    assert sum(len(w.encode()) > sentencepiece_codec.LONG for w in words) > 800
+    b._batch = lambda rows, sizes=None, own=b._batch: own(rows) if sizes is None else pytest.fail("not alone")
+    began = time.time()
+    got = a.encode(pa.array(words))
+    together = time.time() - began
+    together_least, sentencepiece_codec.TOGETHER = sentencepiece_codec.TOGETHER, 10**9
+    try:
+        began = time.time()
+        want = b.encode(pa.array(words))
+        alone = time.time() - began
+    finally:
+        sentencepiece_codec.TOGETHER = together_least
+    assert np.array_equal(got[0], want[0]) and np.array_equal(got[1], want[1])
+    assert a.decode(*got) == [w.encode() for w in words]
+    print("together", together, "alone", alone)
+
+
 def test_sentencepiece_frames(docs, plain):
     encoded = sentencepiece_codec.encode(docs)
     back = [(r.doc_id, r.text) for r in sentencepiece_codec.decode(encoded).collect()]
