@@ -15,13 +15,16 @@ from pyspark.sql import functions as F
 HEADERS = {"字段名": "name", "字段含义": "description", "库名": "db", "表名": "table", "表描述": "table_description", "来源表": "source"}
 
 
-def read_csv(spark: SparkSession, path: str, sep: str | None = None, schema: str | None = None, lower: bool = True) -> DataFrame:
-    """A CSV file with a header. sep None: a tab if the first line holds more tabs than commas. Without a schema types are inferred."""
+def read_csv(spark: SparkSession, path: str, sep: str | None = None, schema: str | None = None, lower: bool = True, sample: float | None = None) -> DataFrame:
+    """A CSV file with a header. sep None: a tab if the first line holds more tabs than commas. Without a schema types are inferred, which reads
+    the file once more, from all rows or from the share `sample` of them."""
     if sep is None:
         head = spark.read.text(path).limit(1).collect()
         line = head[0].value if head else ""
         sep = "\t" if line.count("\t") > line.count(",") else ","
     reader = spark.read.option("header", True).option("sep", sep)
+    if sample:
+        reader = reader.option("samplingRatio", sample)
     df = (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
     return df.toDF(*(c.strip().lower() for c in df.columns)) if lower else df
 
