@@ -56,9 +56,9 @@ def with_total(bins: DataFrame, goods: int, bads: int) -> DataFrame:
     return bins.unionByName(last)
 
 
-def quantile_table(df: DataFrame, features: list[str], target: str, parts: int = 5) -> DataFrame:
-    """feature, bin, good, bad and rates on (a, b] equal-frequency bins; missing values are left out of bins, not of totals."""
-    goods, bads = totals(df, target)
+def quantile_table(df: DataFrame, features: list[str], target: str, parts: int = 5, sums: tuple[int, int] | None = None) -> DataFrame:
+    """feature, bin, good, bad and rates on (a, b] equal-frequency bins; missing values are left out of bins, not of totals (sums, if known)."""
+    goods, bads = sums or totals(df, target)
     # a missing value is null from here on
     known = df.where(F.col(target).isin(0, 1)).select(target, *(F.when(~missing(F.col(f).cast("double")), F.col(f).cast("double")).alias(f) for f in features))
     edges = quantile_edges(known, features, parts)
@@ -88,7 +88,7 @@ def monotonic_table(df: DataFrame, features: list[str], target: str, rule: Monot
     merged = spark.createDataFrame(rows, "feature string, place int, low double, high double, good long, bad long")
     rest = [f for f in features if f not in {r[0] for r in bins}]
     if rest:
-        backup = quantile_table(df, rest, target).select("feature", (F.col("bin") + 1).alias("place"), nothing.alias("low"), nothing.alias("high"), "good", "bad")
+        backup = quantile_table(df, rest, target, sums=(goods, bads)).select("feature", (F.col("bin") + 1).alias("place"), nothing.alias("low"), nothing.alias("high"), "good", "bad")
         merged = merged.unionByName(backup)
     return rates(merged, goods, bads, ["feature"], rule.digits)
 
@@ -103,9 +103,10 @@ def library_table(df: DataFrame, feature: str, target: str, increasing: bool = T
 
 def information_value(df: DataFrame, features: list[str], target: str, parts: int = 10) -> DataFrame:
     """feature, iv on equal-frequency bins with the missing rows as a bin of their own."""
-    goods, bads = totals(df, target)
-    known = quantile_table(df, features, target, parts).select("feature", "good", "bad")
-    both = rates(known.unionByName(missing_bins(df, features, target)), goods, bads, ["feature"], None)
+    goods, bads, own = label_counts(df, features, target)
+    known = quantile_table(df, features, target, parts, (goods, bads)).select("feature", "good", "bad")
+    gone = df.sparkSession.createDataFrame([(f, g, d) for f, (_, g, d) in own.items() if g + d], "feature string, good long, bad long")
+    both = rates(known.unionByName(gone), goods, bads, ["feature"], None)
     return both.groupBy("feature").agg(F.sum("iv").alias("iv"))
 
 
