@@ -71,14 +71,8 @@ def xlsx_round_trip(spark, sf_dir):
 def xlsx_scan(spark, sf_dir):
     """A sheet that begins with its header."""
     path, rows = str(here() / "r.xlsx"), table(spark, sf_dir, "region").select("r_name", F.col("r_regionkey").cast("double")).collect()
-    sinks.write_xlsx(path, {"regions": {"Name": (["Name", "KEY"], [list(r) for r in rows])}})
-    # the section's title is taken out, as other programs write sheets without one
-    whole = readers.xlsx_rows
-    try:
-        readers.xlsx_rows = lambda p, sheet=0: [r for r in whole(p, sheet) if r][1:]
-        return readers.read_sample(spark, path)
-    finally:
-        readers.xlsx_rows = whole
+    sinks.write_xlsx(path, {"regions": {"": (["Name", "KEY"], [list(r) for r in rows])}})
+    return readers.read_sample(spark, path)
 
 
 @query("csv_sink", f"WITH {SAMPLE_SQL} SELECT month, count(*) AS n, round(count(f_tax) / count(*), 6) AS coverage FROM sample GROUP BY 1")
@@ -109,13 +103,16 @@ CLASSED = [("acctbal", "wdyy.t_ccr_customer", "行为变量"), ("spent", "ads.ad
 
 
 def _dictionary(spark, kind: str):
-    path, heads = here() / f"d.{kind}", ("字段名", "字段含义", "库名", "表名")
+    """YAML is read by the driver; a table of text by Spark, so that it goes to the shared folder."""
+    heads = ("字段名", "字段含义", "库名", "表名")
     if kind == "yaml":
+        path = str(here() / "d.yaml")
         text = "\n".join("- {" + ", ".join(f'"{h}": "{v.strip().lower() if h == "字段名" else v}"' for h, v in zip(heads, r, strict=True)) + f', "source": "{r[2]}.{r[3]}"' + "}" for r in DICTIONARY)
+        Path(path).write_text(text, encoding="utf-8")
     else:
-        text = "\n".join(("\t" if kind == "tsv" else ",").join(r) for r in [heads, *DICTIONARY])
-    path.write_text(text, encoding="utf-8")
-    got = readers.metadata_dict(spark, path.as_uri() if kind != "yaml" else str(path))
+        path, text = f"{planner.Cuts(spark).root}/d.{kind}", "\n".join(("\t" if kind == "tsv" else ",").join(r) for r in [heads, *DICTIONARY])
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    got = readers.metadata_dict(spark, path)
     return spark.createDataFrame([(n, r["source"], r["category"]) for n, r in got.items()], "name string, source string, category string")
 
 

@@ -111,7 +111,7 @@ def _style(name: str) -> int:
 
 
 def write_xlsx(path: str, sheets: dict[str, dict[str, object]], bars: tuple[str, ...] = ("bad_rate", "lift")) -> None:
-    """A workbook of sheets of titled sections, with header style, number formats, column widths and data bars."""
+    """A workbook of sheets of titled sections, with header style, number formats, column widths and data bars; an empty title takes no row."""
     main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
     office = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
     package = "http://schemas.openxmlformats.org/package/2006"
@@ -119,8 +119,9 @@ def write_xlsx(path: str, sheets: dict[str, dict[str, object]], bars: tuple[str,
         for i, sections in enumerate(sheets.values(), 1):
             lines, widths, rules, at = [], {}, [], 1
             for name, section in sections.items():
-                lines.append(f'<row r="{at}">{_cell(f"A{at}", name, HEAD)}</row>')
-                at += 1
+                if name:
+                    lines.append(f'<row r="{at}">{_cell(f"A{at}", name, HEAD)}</row>')
+                    at += 1
                 parts = section if isinstance(section, list) and section and isinstance(section[0], tuple) else [("", section)]
                 for label, part in parts:
                     if part is None:
