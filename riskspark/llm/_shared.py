@@ -98,6 +98,12 @@ class Scratch:
         at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def clear_scratch() -> None:
+    """Remove all scratch tables of this process: for long sessions, once the results that read them are written."""
+    for scratch in list(Scratch.live):
+        scratch.clear()
+
+
 def packed(docs: DataFrame):
     """All columns as one struct, so that names of an operator's own cannot clash with them; unpacked() turns it back."""
     return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")

@@ -108,6 +108,20 @@ def test_components(spark):
     assert got == {x: root(x) for x in nodes}
 
 
+def test_scratch_goes_on_request(spark):
+    from riskspark.llm import _shared
+
+    scratch = Scratch(spark, "gone")
+    a, b = scratch.table(spark.range(3)), scratch.table(spark.range(4))
+    scratch.drop(spark.range(3))
+    scratch.drop(a)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch.root)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert len(files.listStatus(path)) == 1 and b.count() == 4
+    _shared.clear_scratch()
+    assert not files.exists(path) and not Scratch.live
+
+
 def test_no_scratch_on_one_machine_of_a_cluster(spark, monkeypatch):
     import pytest
     from riskspark.llm import _shared
