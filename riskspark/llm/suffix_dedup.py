@@ -39,9 +39,11 @@ LENGTH = 200
 #: A power of two; every string's anchor is among its first WINDOW places.
 WINDOW = 128
 CORE = LENGTH - WINDOW + 1
-#: Documents that the splitters are sampled from (expected), and buckets for each partition.
+#: Documents that hot passages and the splitters of a small table are sampled from (expected), and buckets for each partition.
 SAMPLE = 2000
 BUCKETS = 4
+#: Suffixes of a bucket, and sampled leading tokens for each splitter: partitions, buckets and the sample of the splitters grow with the suffixes.
+PER_BUCKET, PER_SPLITTER = 50_000, 32
 #: A core is hot if it occurs in HOT_SHARE of the sampled documents, and HOT_LEAST of them at least.
 HOT_SHARE, HOT_LEAST = 0.004, 8
 SIDE = WINDOW // 2
@@ -288,8 +290,8 @@ def _hot_least(many: int) -> int:
     return max(HOT_LEAST, round(HOT_SHARE * min(SAMPLE, many)))
 
 
-def _sampled(drawn: DataFrame, many: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of drawn documents: quantiles of the leading tokens of their anchors, and their hot cores."""
+def _marks(drawn: DataFrame) -> DataFrame:
+    """(lead, core) of the anchors of drawn documents: their leading tokens and the hashes of their cores."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest as h
@@ -302,12 +304,28 @@ def _sampled(drawn: DataFrame, many: int, buckets: int) -> tuple[np.ndarray, np.
                 core = np.array([h(data[x : x + CORE]) for x in a.tolist()], np.uint64)
                 yield pa.RecordBatch.from_arrays([pa.array(lead.view(np.int64)), pa.array(core.view(np.int64))], names=["lead", "core"])
 
-    marks = drawn.mapInArrow(run, "lead long, core long")
+    return drawn.mapInArrow(run, "lead long, core long")
+
+
+def _hot_cores(marks: DataFrame, many: int) -> np.ndarray:
     hot = marks.groupBy("core").agg(F.count("*").alias("n")).where(F.col("n") >= _hot_least(many)).orderBy(F.desc("n")).limit(4096)
-    leads = marks.where("(xxhash64(core) & 3) = 0")
-    got = np.sort(leads.select("lead").toArrow()["lead"].to_numpy().view(np.uint64))
-    cuts = np.unique(got[np.arange(1, buckets) * len(got) // buckets]) if len(got) else got
-    return cuts, np.sort(hot.select("core").toArrow()["core"].to_numpy())
+    return np.sort(hot.select("core").toArrow()["core"].to_numpy())
+
+
+def _quarter(marks: DataFrame) -> DataFrame:
+    return marks.where("(xxhash64(core) & 3) = 0").select("lead")
+
+
+def _splitters(marks: DataFrame, buckets: int) -> np.ndarray:
+    """Quantiles of the leading tokens."""
+    got = np.sort(_quarter(marks).toArrow()["lead"].to_numpy().view(np.uint64))
+    return np.unique(got[np.arange(1, buckets) * len(got) // buckets]) if len(got) else got
+
+
+def _drawn(keyed: DataFrame, many: int, docs: int) -> DataFrame:
+    """About so many of many documents, drawn by a hash of the row: reruns draw alike."""
+    share = max(1, round(min(1.0, docs / max(1, many)) * (1 << 40)))
+    return keyed.where(f"(xxhash64(id, tag) & {(1 << 40) - 1}) < {share}")
 
 
 def _ranges(low: int, high: int, width: int) -> list[tuple[int, int]]:
@@ -454,8 +472,8 @@ def _suffixes(wanted: DataFrame, keyed: DataFrame, cuts: np.ndarray, hot: np.nda
     return joined.select("id", "tag", "text", "asked").mapInArrow(run, "bucket int, id long, tag long, place long, kind int, low int, high int, suffix binary, context binary")
 
 
-def _compared(suffixes: DataFrame) -> DataFrame:
-    """(id, tag, span): spans of repeated bytes, packed as first * 2 ** 32 + end, of PART runs."""
+def _compared(suffixes: DataFrame, tasks: int | None = None) -> DataFrame:
+    """(id, tag, span): spans of repeated bytes, packed as first * 2 ** 32 + end, of PART runs; a task holds its buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [b for b in batches if b.num_rows]
@@ -501,24 +519,32 @@ def _compared(suffixes: DataFrame) -> DataFrame:
         release()
 
     deal = F.when(F.col("bucket") == STRING, F.xxhash64("suffix")).when(F.col("bucket") == KNOWN, F.xxhash64("id", "tag")).otherwise(F.col("bucket").cast("long"))
-    return suffixes.withColumn("deal", deal).repartition("deal").drop("deal").mapInArrow(run, "id long, tag long, span long")
+    dealt = suffixes.withColumn("deal", deal)
+    dealt = dealt.repartition(tasks, "deal") if tasks else dealt.repartition("deal")
+    return dealt.drop("deal").mapInArrow(run, "id long, tag long, span long")
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(id, tag, spans): for each row that has any, spans of repeated bytes (they may overlap), packed as first * 2 ** 32 + end."""
     scratch = Scratch(docs.sparkSession, "suffixes")
     keyed = _keyed(docs, doc_id, text)
-    buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     many = keyed.count()
-    share = max(1, round(min(1.0, SAMPLE / max(1, many)) * 1048576))
-    # drawn by a hash of the row: reruns draw alike
-    drawn = scratch.table(keyed.where(f"(xxhash64(id, tag) & 1048575) < {share}"))
-    cuts, hot = _sampled(drawn, many, buckets)
+    drawn = scratch.table(_drawn(keyed, many, SAMPLE))
+    marks = scratch.table(_marks(drawn))
+    hot = _hot_cores(marks, many)
     frequent, twice = _told(drawn, many, hot)
     found = scratch.table(_candidates(_anchor_rows(keyed), hot))
     scratch.free_shuffles()
     wanted = found.where(f"(kind & {PART | PEER}) > 0").select("id", "tag", "place", "kind")
-    part = scratch.table(_compared(_suffixes(wanted, keyed, cuts, hot, frequent, twice)))
+    # a task holds so many suffixes, whatever the number of all
+    tasks = -(-wanted.count() // (PER_BUCKET * BUCKETS))
+    buckets = BUCKETS * max(least, tasks)
+    if tasks > least:
+        each = max(1.0, _quarter(marks).count() / max(1, drawn.count()))
+        marks = _marks(_drawn(keyed, many, max(SAMPLE, int(PER_SPLITTER * buckets / each))))
+    cuts = _splitters(marks, buckets)
+    part = scratch.table(_compared(_suffixes(wanted, keyed, cuts, hot, frequent, twice), tasks if tasks > least else None))
     scratch.free_shuffles()
     a = "((place >> 14) & 2147483647)"
     full = found.where(f"(kind & {FULL}) > 0").selectExpr(
