@@ -27,6 +27,8 @@ LIMIT = 4
 PAIRS = 400_000
 #: Fingerprints of a cell that is walked whole, and the shared bits beyond which cells are not split further.
 CELL, DEEP = 1 << 18, 44
+#: Fingerprints, once for each cell, that a task walks: tasks grow with the table.
+PER_TASK = 1 << 21
 #: Shingles hashed at once.
 HASHED = 1 << 16
 
@@ -199,7 +201,11 @@ def links(fps: DataFrame, limit: int = LIMIT, scratch: Scratch | None = None) ->
     dealt = done[0]
     for more in done[1:]:
         dealt = dealt.unionByName(more)
-    dealt = dealt.repartition("path", "cell").select("path", "w", "key", "fp")
+    # a task holds its cells, and a split cell's rows stand in place of it LIMIT + 1 times; by the counts of written tables
+    tasks = -(-sum(x.count() for x in done) // PER_TASK)
+    cells = ["path", "cell"]
+    least = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = (dealt.repartition(tasks, *cells) if tasks > least else dealt.repartition(*cells)).select("path", "w", "key", "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [[np.asarray(c) for c in b.columns] for b in batches if b.num_rows]
