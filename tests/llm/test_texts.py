@@ -253,6 +253,8 @@ def test_repeats_of_small_alphabets(spark, monkeypatch, seed, hot):
 
     monkeypatch.setattr(suffix_dedup, "HOT_LEAST", hot)
     monkeypatch.setattr(suffix_dedup, "HOT_SHARE", 0)
+    if seed > 1:  # more tasks than the session has partitions, with splitters of a sample of their own
+        monkeypatch.setattr(suffix_dedup, "PER_BUCKET", 1)
     draw = random.Random(seed)
     base = ["".join(draw.choice("ab" if seed % 2 else "a bc\n") for _ in range(700)) for _ in range(4)]
     rows = []
@@ -695,10 +697,12 @@ def test_written_shards_hold_every_row_once(spark, docs, tmp_path):
     assert ordered(map(str, back.drop("shard").select(docs.columns).collect())) == ordered(map(str, docs.collect()))
 
 
-def test_simhash_splits_hot_cells(spark, monkeypatch):
+@pytest.mark.parametrize("per_task", [1 << 21, 50])
+def test_simhash_splits_hot_cells(spark, monkeypatch, per_task):
     import random
 
     draw = random.Random(9)
+    monkeypatch.setattr(simhash, "PER_TASK", per_task)
     monkeypatch.setattr(simhash, "CELL", 30)
     centres = [draw.getrandbits(64) for _ in range(6)]
     values = set()
