@@ -44,9 +44,12 @@ class CharClass:
 
 
 SCALE = 1_000_000
+#: Digits and letters of one case need three groups of digits at least, as words written together have as much entropy as tokens.
 CLASSES = (
     CharClass("hex_entropy", "0-9A-Fa-f", 24, 3.0, ("[0-9]", "[A-Fa-f]")),
     CharClass("base64_entropy", "A-Za-z0-9+/_=-", 24, 4.0, ("[0-9]", "[a-z]", "[A-Z]")),
+    CharClass("lower_entropy", "0-9a-z", 24, 3.6, ("[0-9][a-z]+[0-9]+[a-z]+[0-9]", "[g-z]")),
+    CharClass("upper_entropy", "0-9A-Z", 24, 3.6, ("[0-9][A-Z]+[0-9]+[A-Z]+[0-9]", "[G-Z]")),
 )
 
 #: Runs that hold one of these are no secrets.

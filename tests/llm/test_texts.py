@@ -84,6 +84,22 @@ def test_secrets_of_long_runs_and_many_spans(spark, monkeypatch, block):
         assert clean[i] == "[REDACTED]".join(t[f:e] for f, e in zip(ends, [*(a for a, _ in cuts), len(t)], strict=True))
 
 
+def test_secrets_of_one_case(spark):
+    import random
+
+    draw = random.Random(8)
+    low, high = "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    tokens = ["".join(draw.choice(of) for _ in range(draw.randint(24, 90))) for of in (low, high) * 40]
+    clean = ["thequickbrownfoxjumps2024overlazydogs", "CONFIGURATIONENVIRONMENT12PRODUCTION", "internationalizationofsubsections", "1" * 30]
+    rows = [f"é {t} ünd" for t in tokens] + clean + [" ".join(tokens[:6]) + "\n" + "-".join(tokens[6:12]), "AKIA" + tokens[1], "secret=" + tokens[0], "a1b2" * 300]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = ordered((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256, r.spans) for r in secret_scan.digest(df).collect())
+    assert got == ordered([(i, *brute_secrets(t)) for i, t in enumerate(rows)])
+    spans = {g[0]: g[-1] for g in got}
+    assert sum("er_entropy" in spans[i] for i in range(len(tokens))) >= 0.9 * len(tokens)
+    assert not any(spans[len(tokens) + i] for i in range(len(clean)))
+
+
 def test_secrets_cost_in_proportion_to_a_run(spark):
     import random
     import time
