@@ -38,6 +38,9 @@ class CharClass:
     bits: float
     needs: tuple[str, ...] = ()
 
+    def members(self) -> frozenset[str]:
+        return frozenset(chr(x) for x in range(33, 127) if re.match(f"[{self.chars}]", chr(x)))
+
     def most(self) -> int:
         """The largest integer sum of c * log2 c that a window may have."""
         return math.floor(SCALE * self.window * (math.log2(self.window) - self.bits))
@@ -91,9 +94,12 @@ def _blocked(array: str, zero: str, step, out, kind: str) -> str:
       (a, z) -> struct({step('a.c', 'z')} AS c, concat(a.out, array({out('a.c', 'z')})) AS out), a -> a.out))), 0)) ELSE CAST(array() AS ARRAY<{kind}>) END"""
 
 
-def _located(df: DataFrame, name: str, pattern: str) -> DataFrame:
-    """Add name: the spans of all leftmost non-overlapping matches of pattern in column t, from the matches and the pieces between them."""
-    df = df.withColumn("_m", F.expr(f"regexp_extract_all(t, {_text(pattern)}, 0)"))
+def _located(df: DataFrame, name: str, pattern: str, given: str = "true") -> DataFrame:
+    """Add name: the spans of all leftmost non-overlapping matches of pattern in column t, from the matches and the pieces between them.
+
+    given: a condition without which there is no match.
+    """
+    df = df.withColumn("_m", F.expr(f"CASE WHEN {given} THEN regexp_extract_all(t, {_text(pattern)}, 0) ELSE CAST(array() AS ARRAY<STRING>) END"))
     df = df.withColumn("_g", F.expr(f"CASE WHEN size(_m) > 0 THEN split(t, {_text(pattern)}, -1) ELSE CAST(array() AS ARRAY<STRING>) END"))
     df = df.withColumn("_z", F.expr("zip_with(slice(_g, 1, size(_m)), _m, (p, x) -> struct(CAST(length(p) AS BIGINT) AS p, CAST(length(x) AS BIGINT) AS n, x AS x))"))
     places = _blocked("_z", "0L", lambda c, z: f"{c} + {z}.p + {z}.n", lambda c, z: f"struct({c} + {z}.p AS s, {c} + {z}.p + {z}.n AS e, {z}.x AS x)", SPAN)
@@ -156,13 +162,16 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
         "base",
         F.expr("array_sort(concat(" + ", ".join(tagged(n, k, n) for k, n in enumerate(("assign", "access", "hex"))) + "))"),
     )
+    # a class whose runs all lie in those of a wider one is looked for only where the wider one has runs
+    numbered = sorted(enumerate(classes, 3), key=lambda kc: -len(kc[1].members()))
     extra = []
-    for k, c in enumerate(classes, 3):
+    for at, (k, c) in enumerate(numbered):
         run = f"(?<![{c.chars}])[{c.chars}]{{{c.window},}}"
-        x = _located(x, f"_r{k}", run)
+        wider = [j for j, d in numbered[:at] if c.members() <= d.members() and d.window <= c.window]
+        x = _located(x, f"_a{k}", run, f"size(_a{wider[0]}) > 0" if wider else "true")
         # the flat form goes first: a lookbehind sees the text before it in split() and in extract_all() alike
         wanted = [f"m.x RLIKE {_text(n)}" for n in c.needs] + [f"NOT m.x RLIKE {_text(p)}" for p in ALLOW]
-        x = x.withColumn(f"_r{k}", F.expr(f"filter(_r{k}, m -> {' AND '.join(wanted)})"))
+        x = x.withColumn(f"_r{k}", F.expr(f"filter(_a{k}, m -> {' AND '.join(wanted)})"))
         x = x.withColumn(f"_e{k}", F.expr(f"flatten(transform(_r{k}, r -> {_windows(c)}))"))
         extra.append(tagged(f"_e{k}", k, c.name))
     # along all spans by start, base kinds first: one that ends within a base span before it adds nothing
@@ -208,8 +217,7 @@ def redact(docs: DataFrame, mark: str = "[REDACTED]", text: str = "text") -> Dat
 
 def _alike(c: CharClass, times: int = 8) -> str:
     """A run of one character, for engines without back references."""
-    own = [chr(x) for x in range(33, 127) if re.match(f"[{c.chars}]", chr(x))]
-    return "|".join(f"[{x}]{{{times}}}" for x in own)
+    return "|".join(f"[{x}]{{{times}}}" for x in sorted(c.members()))
 
 
 def oracle(classes=CLASSES) -> str:
